@@ -12,8 +12,9 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlens.functions.scalars import log_ratio
 from txnlens.operators import running as R
@@ -30,58 +31,61 @@ def long_features(df: DataFrame, features, keep=("dataset",)) -> DataFrame:
 
 
 def quantile_edges(values: DataFrame, keys, n_bins: int, hot_rows: int = R.HOT_ROWS, exact: bool = True,
-                   accuracy: int = 10_000) -> DataFrame:
-    """(keys..., edges): distinct n-quantiles of ``value``, linearly interpolated between neighbours.
+                   accuracy: int = 10_000) -> dict:
+    """Distinct n-quantiles of ``value`` per key, as {key tuple: array}.
 
-    Exact ones come from cumulative counts along the distinct values. ``exact=False`` takes the mergeable
-    sketch instead (rank error at most rows / accuracy, no interpolation) and needs no shuffle of values.
+    Exact ones are interpolated between the values at the neighbouring ranks, which come from cumulative
+    counts along the distinct values; only values at wanted ranks (a few per key) reach the driver.
+    ``exact=False`` takes the mergeable sketch instead (rank error at most rows / accuracy, no interpolation)
+    and needs no shuffle of values.
     """
     shares = [i / n_bins for i in range(n_bins + 1)]
     if not exact:
-        return values.groupBy(*keys).agg(
-            F.array_distinct(F.percentile_approx("value", shares, accuracy)).alias("edges"))
+        q = values.groupBy(*keys).agg(F.percentile_approx("value", shares, accuracy).alias("q"))
+        return {tuple(r[k] for k in keys): np.unique(r["q"]) for r in q.collect()}
     groups = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     c = R.prefix_sums(groups, keys, "value", {"upto": ("sum", F.col("n"))},
                       {"total": ("sum", F.col("n"))}, hot_rows)
-    picks = []
-    for i, share in enumerate(shares):
-        place = (F.col("total") - 1) * F.lit(share)
-        for name, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            here = (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
-            picks.append(F.max(F.when(here, F.col("value"))).alias(f"{name}{i}"))
-    sums = c.groupBy(*keys).agg(F.max("total").alias("total"), *picks)
-
-    def between(i, share):
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        place = (F.col("total") - 1) * F.lit(share)
-        t = place - F.floor(place)
+    # Keep a value when a wanted rank lies in its run of ranks or next to it: the last wanted rank at or
+    # before the run's end must not be before its start.
+    gaps = F.expr("greatest(total - 1, 1)")
+    c = (c.withColumn("gaps", gaps)
+         .withColumn("i", F.expr(f"least((((upto + 1) * {n_bins} + gaps - 1) div gaps) - 1, {n_bins})"))
+         .where(F.expr(f"(total - 1) * i div {n_bins} >= upto - n - 1")))
+    found: dict = {}
+    for r in c.select(*keys, "value", "n", "upto", "total").collect():
+        found.setdefault(tuple(r[k] for k in keys), []).append(r)
+    return {key: _interpolated(rows, shares) for key, rows in found.items()}
+
+
+def _interpolated(rows, shares) -> np.ndarray:
+    runs = sorted((r["upto"] - r["n"], r["upto"], r["value"]) for r in rows)
+    last = rows[0]["total"] - 1
+
+    def at(rank):
+        return next(v for lo, hi, v in runs if lo <= rank < hi)
+
+    out = []
+    for share in shares:
+        place = last * share
+        lo, hi = at(int(np.floor(place))), at(int(np.ceil(place)))
+        t = place - np.floor(place)
         # interpolate from the nearer end
-        return F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t)
+        out.append(hi - (hi - lo) * (1 - t) if t >= 0.5 else lo + (hi - lo) * t)
+    return np.unique(out)
 
-    return sums.select(*keys, F.array_distinct(F.array(*[between(i, s) for i, s in enumerate(shares)])).alias("edges"))
 
+def fixed_edges(lo: float, hi: float, n_bins: int) -> np.ndarray:
+    """n + 1 equally spaced edges."""
+    return np.array([lo + (hi - lo) * i / n_bins for i in range(n_bins + 1)])
 
-def fixed_edges(lo, hi, n_bins: int):
-    """Array of n + 1 equally spaced edges."""
-    return F.array(*[lo + (hi - lo) * F.lit(float(i)) / n_bins for i in range(n_bins + 1)])
 
-
-def widen(edges, legacy: bool):
-    """Move the outer edges: legacy raises both by EPS; otherwise they stay (the lowest bin is closed)."""
-    if not legacy:
-        return edges
-    last = F.size(edges)
-    return F.transform(edges, lambda e, i: F.when((i == 0) | (i == last - 1), e + EPS).otherwise(e))
-
-
-def bin_index(value, edges, n_bins: int, legacy: bool):
-    """0-based bin of ``value`` among right-closed bins, NULL outside them. At most ``n_bins`` + 1 edges."""
-    above = sum((F.coalesce((value > F.get(edges, F.lit(i))).cast("int"), F.lit(0)) for i in range(n_bins + 1)),
-                F.lit(0))
-    inside = F.when((above > 0) & (above < F.size(edges)), above - 1)
+def widen(edges: np.ndarray, legacy: bool) -> np.ndarray:
+    """``legacy`` raises both outer edges by EPS; otherwise they stay (and the lowest bin is closed)."""
+    edges = np.array(edges, dtype=float)
     if legacy:
-        return inside
-    return F.when(value == F.get(edges, F.lit(0)), F.lit(0)).otherwise(inside)
+        edges[[0, -1]] += EPS
+    return edges
 
 
 def _check_bins(bin_type):
@@ -89,88 +93,105 @@ def _check_bins(bin_type):
         raise ValueError(f"bin_type must be one of {BIN_TYPES}, not {bin_type!r}")
 
 
+def _ends(values: DataFrame, keys) -> dict:
+    rows = values.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+    return {tuple(r[k] for k in keys): (r["lo"], r["hi"]) for r in rows}
+
+
 def bins(values: DataFrame, keys, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False,
-         hot_rows: int = R.HOT_ROWS, exact: bool = True) -> DataFrame:
-    """(keys..., edges) of each key's own values."""
+         hot_rows: int = R.HOT_ROWS, exact: bool = True) -> dict:
+    """Edges of each key's own values. Keys are data set and feature names, so this stays small."""
     _check_bins(bin_type)
     if bin_type == "quantiles":
-        e = quantile_edges(values, keys, n_bins, hot_rows, exact)
+        found = quantile_edges(values, keys, n_bins, hot_rows, exact)
     else:
-        ends = values.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        e = ends.select(*keys, fixed_edges(F.col("lo"), F.col("hi"), n_bins).alias("edges"))
-    return e.withColumn("edges", widen(F.col("edges"), legacy))
-
-
-def bin_counts(values: DataFrame, edges: DataFrame, keys, n_bins: int, aggs, legacy: bool = False) -> DataFrame:
-    """Aggregates per (keys..., bin), empty bins included (their aggregates are NULL)."""
-    # edges: one row per key, that is per data set and feature name
-    counted = (values.join(F.broadcast(edges), list(keys))
-               .withColumn("bin", bin_index(F.col("value"), F.col("edges"), n_bins, legacy))
-               .where(F.col("bin").isNotNull()).groupBy(*keys, "bin").agg(*aggs))
-    grid = edges.select(*keys, F.posexplode(F.slice("edges", F.lit(1), F.size("edges") - 1)).alias("bin", "lower"),
-                        "edges").withColumn("upper", F.get("edges", F.col("bin") + 1)).drop("edges")
-    return grid.join(counted, [*keys, "bin"], "left")
-
-
-def pair_edges(values: DataFrame, pairs, bin_type: str, n_bins: int, legacy: bool, hot_rows: int, exact: bool):
-    """(feature, dataset1, dataset2, edges) for every pair of data sets."""
-    ends = values.groupBy("feature", "dataset").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    listed = values.sparkSession.createDataFrame(list(pairs), "dataset1 string, dataset2 string")
-    first = ends.select("feature", F.col("dataset").alias("dataset1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    second = ends.select("feature", F.col("dataset").alias("dataset2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    # all sides here have one row per feature name and data set name
-    both = first.join(F.broadcast(listed), "dataset1").join(second, ["feature", "dataset2"])
-    lo = F.least("lo1", "lo2")
-    hi = F.greatest(F.col("lo1") if legacy else F.col("hi1"), F.col("hi2"))
-    if bin_type == "fixed":
-        e = both.select("feature", "dataset1", "dataset2", fixed_edges(lo, hi, n_bins).alias("edges"))
-    else:
-        q = quantile_edges(values, ["feature", "dataset"], n_bins, hot_rows, exact)
-        e = both.join(q.withColumnRenamed("dataset", "dataset1"), ["feature", "dataset1"])
-        edges = F.col("edges")
-        if not legacy:  # open the outer bins to both sets
-            last = F.size("edges") - 1
-            edges = F.transform("edges", lambda x, i: F.when(i == 0, lo).when(i == last, hi).otherwise(x))
-        e = e.select("feature", "dataset1", "dataset2", edges.alias("edges"))
-    return e.withColumn("edges", widen(F.col("edges"), legacy))
+        found = {k: fixed_edges(lo, hi, n_bins) for k, (lo, hi) in _ends(values, keys).items()}
+    return {k: widen(e, legacy) for k, e in found.items()}
+
+
+def edge_table(spark: SparkSession, names, rows, n_bins: int) -> DataFrame:
+    """Local table of (names..., n_edges, e0 ... en) from (name values, edges) pairs; unused edges are +inf."""
+    fields = [T.StructField(n, T.StringType(), False) for n in names]
+    fields.append(T.StructField("n_edges", T.IntegerType(), False))
+    fields += [T.StructField(f"e{i}", T.DoubleType(), False) for i in range(n_bins + 1)]
+    data = [(*key, len(e), *[float(x) for x in e], *[float("inf")] * (n_bins + 1 - len(e))) for key, e in rows]
+    return spark.createDataFrame(data, T.StructType(fields))
+
+
+def bin_index(n_bins: int, legacy: bool):
+    """0-based bin of ``value`` among the right-closed bins of an edge table row, NULL outside them.
+
+    One comparison per edge, kept this plain so that the generated code is small enough to be compiled.
+    """
+    first = F.col("value") > F.col("e0") if legacy else F.col("value") >= F.col("e0")
+    above = first.cast("int")
+    for i in range(1, n_bins + 1):
+        above = above + (F.col("value") > F.col(f"e{i}")).cast("int")
+    return above - 1
+
+
+def binned_counts(values: DataFrame, edges: DataFrame, on, by, n_bins: int, legacy: bool) -> DataFrame:
+    """Row counts per (by..., n_edges, bin). ``edges`` has a row per data set and feature name (and pair)."""
+    return (
+        values.join(F.broadcast(edges), list(on))
+        .select(*by, "n_edges", bin_index(n_bins, legacy).alias("bin"))
+        .groupBy(*by, "n_edges", "bin").agg(F.count(F.lit(1)).alias("n"))
+        .where((F.col("bin") >= 0) & (F.col("bin") < F.col("n_edges") - 1))
+    )
+
+
+def bin_table(spark, found: dict, names) -> DataFrame:
+    """(names..., bin, lower, upper): every bin of every key."""
+    rows = [(*key, i, float(e[i]), float(e[i + 1])) for key, e in found.items() for i in range(len(e) - 1)]
+    schema = ", ".join(f"{n} string" for n in names) + ", bin int, lower double, upper double"
+    return spark.createDataFrame(rows, schema)
 
 
 def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False,
              hot_rows: int = R.HOT_ROWS, exact: bool = True) -> DataFrame:
-    """(dataset1, dataset2, feature, csi) for every pair of data sets, in the order they are listed."""
+    """(dataset1, dataset2, feature, csi) for every pair of data sets, in the order they are listed.
+
+    Two passes: edges, then one count per (feature, pair, data set, bin).
+    """
     _check_bins(bin_type)
+    spark = df.sparkSession
     values = long_features(df.where(F.col("dataset").isin(list(datasets))), features)
-    edges = pair_edges(values, combinations(datasets, 2), bin_type, n_bins, legacy, hot_rows, exact)
-    return _csi(values, edges, n_bins, legacy)
-
-
-def _csi(values, edges, n_bins, legacy):
-    def side(k):
-        return edges.select(F.col("feature"), F.col(f"dataset{k}").alias("dataset"), F.lit(k).alias("side"),
-                            F.col("dataset1"), F.col("dataset2"), F.col("edges"))
-
-    # one row per feature name, data set name and pair it takes part in
-    sides = side(1).unionByName(side(2))
-    counts = (
-        values.join(F.broadcast(sides), ["feature", "dataset"])
-        .withColumn("bin", bin_index(F.col("value"), F.col("edges"), n_bins, legacy))
-        .where(F.col("bin").isNotNull())
-        .groupBy("feature", "dataset1", "dataset2", F.size("edges").alias("n_edges"), "bin")
-        .agg(F.count_if(F.col("side") == 1).alias("c1"), F.count_if(F.col("side") == 2).alias("c2"))
-    )
+    ends = _ends(values, ["feature", "dataset"])
+    quantiles = quantile_edges(values, ["feature", "dataset"], n_bins, hot_rows, exact) if bin_type == "quantiles" else {}
+    rows = []
+    for feature in dict.fromkeys(f for f, _ in ends):
+        for a, b in combinations([d for d in datasets if (feature, d) in ends], 2):
+            (lo1, hi1), (lo2, hi2) = ends[feature, a], ends[feature, b]
+            lo, hi = min(lo1, lo2), max(lo1 if legacy else hi1, hi2)
+            if bin_type == "fixed":
+                e = fixed_edges(lo, hi, n_bins)
+            else:
+                e = quantiles[feature, a].copy()
+                if not legacy:  # open the outer bins to both sets
+                    e[0], e[-1] = lo, hi
+            e = widen(e, legacy)
+            rows += [((feature, d, a, b), e) for d in (a, b)]
+    edges = edge_table(spark, ["feature", "dataset", "dataset1", "dataset2"], rows, n_bins)
     pair = ["feature", "dataset1", "dataset2"]
-    totals = counts.groupBy(*pair).agg(F.sum("c1").alias("t1"), F.sum("c2").alias("t2"))
-    rated = counts.join(F.broadcast(totals), pair)  # at most one row per feature and pair
+    counts = binned_counts(values, edges, ["feature", "dataset"], [*pair, "dataset"], n_bins, legacy)
+
+    def of(side):
+        return F.sum(F.when(F.col("dataset") == F.col(side), F.col("n")).otherwise(0))
+
+    per_bin = counts.groupBy(*pair, "n_edges", "bin").agg(of("dataset1").alias("c1"), of("dataset2").alias("c2"))
+    whole = Window.partitionBy(*pair)  # at most n_bins rows
 
-    def rate(c, t):
-        r = F.coalesce(F.try_divide(F.col(c), F.col(t)), F.lit(0.0))
+    def rate(c):
+        r = F.coalesce(F.try_divide(F.col(c), F.sum(c).over(whole)), F.lit(0.0))
         return F.when(r == 0, F.lit(EPS)).otherwise(r)
 
-    r1, r2 = rate("c1", "t1"), rate("c2", "t2")
+    rated = per_bin.select(*pair, "n_edges", rate("c1").alias("r1"), rate("c2").alias("r2"))
     # bins empty on both sides add nothing; they count in the mean
-    total = F.sum((r1 - r2) * F.ln(r1 / r2))
+    total = F.sum((F.col("r1") - F.col("r2")) * F.ln(F.col("r1") / F.col("r2")))
     value = total / (F.max("n_edges") - 1) if legacy else total
-    return rated.groupBy(*pair).agg(value.alias("csi")).select("dataset1", "dataset2", "feature", "csi")
+    listed = edges.select(*pair).distinct()  # a pair whose values fall in no bin at all differs nowhere
+    return (listed.join(rated.groupBy(*pair).agg(value.alias("csi")), pair, "left")
+            .select("dataset1", "dataset2", "feature", F.coalesce("csi", F.lit(0.0)).alias("csi")))
 
 
 def psi(df: DataFrame, datasets, score: str = "score", **options) -> DataFrame:
@@ -198,12 +219,14 @@ def woe(df: DataFrame, features, label: str, bin_type: str = "quantiles", n_bins
     """Weight of evidence per data set, feature and bin, with a half-count adjusted form."""
     keys = ["dataset", "feature"]
     values = long_features(df, features, keep=("dataset", label))
-    edges = bins(values, keys, bin_type, n_bins, legacy, hot_rows, exact)
-    aggs = [F.count_if(F.col(label) == 0).alias("cnt_0"), F.count_if(F.col(label) == 1).alias("cnt_1")]
-    counts = bin_counts(values, edges, keys, n_bins, aggs, legacy)
-    counts = counts.fillna(0, ["cnt_0", "cnt_1"])
-    totals = counts.groupBy(*keys).agg(F.sum("cnt_0").alias("t0"), F.sum("cnt_1").alias("t1"))
-    c = counts.join(F.broadcast(totals), keys)  # one row per data set and feature name
+    found = bins(values, keys, bin_type, n_bins, legacy, hot_rows, exact)
+    edges = edge_table(df.sparkSession, keys, found.items(), n_bins)
+    counted = binned_counts(values, edges, keys, [*keys, label], n_bins, legacy)
+    counted = counted.groupBy(*keys, "bin").agg(
+        *[F.sum(F.when(F.col(label) == k, F.col("n")).otherwise(0)).alias(f"cnt_{k}") for k in (0, 1)])
+    counts = bin_table(df.sparkSession, found, keys).join(counted, [*keys, "bin"], "left").fillna(0, ["cnt_0", "cnt_1"])
+    whole = Window.partitionBy(*keys)  # at most n_bins rows
+    c = counts.withColumn("t0", F.sum("cnt_0").over(whole)).withColumn("t1", F.sum("cnt_1").over(whole))
     p0, p1 = F.try_divide("cnt_0", "t0"), F.try_divide("cnt_1", "t1")
     adjusted = F.ln(F.try_divide(F.try_divide(F.col("cnt_1") + 0.5, F.col("t1")),
                                  F.try_divide(F.col("cnt_0") + 0.5, F.col("t0"))))

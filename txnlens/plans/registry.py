@@ -446,9 +446,11 @@ for _name, _type in (("bins_fixed", "fixed"), ("bins_quantile", "quantiles")):
 def _bin_table(t, bin_type):
     keys = ["dataset", "feature"]
     values = MO.long_features(_lines(t), O.LINE_FEATURES)
-    edges = MO.bins(values, keys, bin_type)
-    out = MO.bin_counts(values, edges, keys, 10, [F.count(F.lit(1)).alias("n")])
-    return rounded(out.fillna(0, ["n"]).select("dataset", "feature", "bin", "lower", "upper", "n"))
+    found = MO.bins(values, keys, bin_type)
+    edges = MO.edge_table(t.spark, keys, found.items(), 10)
+    counts = MO.binned_counts(values, edges, keys, keys, 10, False)
+    out = MO.bin_table(t.spark, found, keys).join(counts, [*keys, "bin"], "left").fillna(0, ["n"])
+    return rounded(out.select("dataset", "feature", "bin", "lower", "upper", "n"))
 
 
 _WOE_SELECT = ("SELECT dataset, feature, bin, round(lower, 6) AS lower, round(upper, 6) AS upper, CAST(cnt_0 AS BIGINT) AS cnt_0, "
