@@ -138,7 +138,12 @@ def join_profile(tx: DataFrame, profile: DataFrame, recipients: DataFrame, end=N
     ``profile`` needs ``distinctRecipientCount``; ``recipients`` is the flat table of
     (profileDate, customerId, recipient, txnCnt).
     """
-    dated = asof_profile_date(tx, profile if snapshots is None else snapshots, end)
+    return join_profile_dated(asof_profile_date(tx, profile if snapshots is None else snapshots, end),
+                              profile, recipients)
+
+
+def join_profile_dated(dated: DataFrame, profile: DataFrame, recipients: DataFrame) -> DataFrame:
+    """The same for transactions that already carry their ``profileDate``."""
     past = recipients.select("profileDate", "customerId", "recipient", F.col("txnCnt").alias("p_recipientTxnCnt"))
     return (dated.join(_profile_side(profile), ["customerId", "profileDate"], "left")
             .join(past, ["customerId", "profileDate", "recipient"], "left"))
@@ -174,7 +179,12 @@ def features(tx, profile, recipients, customer_info, start=None, end=None, snaps
     """
     joined = join_profile(_in_range(tx, start, end), profile, recipients, end, snapshots)
     joined = join_customer(joined, customer_info)
-    return joined.select(*_ids(generated), *txn_columns(), *profile_columns(), *customer_columns())
+    return joined.select(*feature_columns(generated))
+
+
+def feature_columns(generated: bool = False):
+    """Id fields and the 106 features over a fully joined transaction."""
+    return [*_ids(generated), *txn_columns(), *profile_columns(), *customer_columns()]
 
 
 def split_sets(df: DataFrame, bounds: dict, column: str = "date") -> DataFrame:

@@ -124,3 +124,27 @@ def parity_joined(t: Tables) -> DataFrame:
     batch = parity.batch_scores(batch_scores(t), t.feature_sets().where("dataset = 'test'").drop("dataset"))
     lo, hi = SETS["test"]
     return parity.full_join(batch, parity.parse_features(parity.latest_scores(online_scores(t), lo, hi)))
+
+
+# The fixture's label is a function of the login position alone, so the position is left out of the model.
+MODEL_FEATURES = [f for f in schemas.FEATURES if f not in ("longitude", "latitude")]
+_models: dict = {}
+
+
+def model(t: Tables):
+    """A boosted-tree classifier fitted on the training set, once per session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _models:
+        from txnlens.operators import model as ML
+
+        train = t.feature_sets().where("dataset = 'train'")
+        _models[key] = ML.fit(train, MODEL_FEATURES, "fraudLabel", "GBTClassifier",
+                              {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1, "seed": 33})
+    return _models[key]
+
+
+def model_scores(t: Tables) -> DataFrame:
+    """(dataset, uniqueId, amount, y, score) of the fitted model."""
+    from txnlens.operators import model as ML
+
+    return ML.score(model(t), t.feature_sets(), keep=("dataset", "uniqueId", "amount"), label="fraudLabel")
