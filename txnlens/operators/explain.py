@@ -8,6 +8,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +54,20 @@ def _with_partner(rows: DataFrame, id_column: str, seeds, hot_rows: int) -> Data
     return base.join(partners, ["dataset", "rep", "__p"])
 
 
-def _columns(array: str, features):
-    return [F.get(F.col(array), F.lit(i)).alias(f) for i, f in enumerate(features)]
+def _spread(df: DataFrame) -> DataFrame:
+    """Even partitions ahead of a step that multiplies rows: few input rows can mean much scoring."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _score_arrays(model: Transformer, rows: DataFrame, array: str, features, keep, label: str | None = None):
+    """Score rows whose features are one array column, in the order of ``features``."""
+    stages = model.stages if isinstance(model, PipelineModel) else []
+    if len(stages) == 2 and isinstance(stages[0], VectorAssembler) and stages[0].getInputCols() == list(features):
+        kept = [*keep, *([label] if label else [])]
+        vectors = rows.select(*kept, array_to_vector(array).alias(stages[0].getOutputCol()))
+        return ML.score(stages[1], vectors, keep=keep, label=label)
+    columns = [F.get(F.col(array), F.lit(i)).alias(f) for i, f in enumerate(features)]
+    return ML.score(model, rows.select(*keep, *([label] if label else []), *columns), keep=keep, label=label)
 
 
 def _feature_array(features):
@@ -72,14 +86,14 @@ def permutation_importance(model: Transformer, df: DataFrame, features, label: s
                      _feature_array(features))
     paired = _with_partner(rows, "__id", [seed + k for k in range(repeats)], hot_rows)
     swap = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1)))
-    variants = paired.select("dataset", "rep", "__y", "__x", "other", swap.alias("swap"))
+    variants = _spread(paired).select("dataset", "rep", "__y", "__x", "other", swap.alias("swap"))
     mixed = F.transform("__x", lambda v, i: F.when(i == F.col("swap"), F.get(F.col("other"), i)).otherwise(v))
     variants = variants.select("dataset", "rep", "swap", "__y", mixed.alias("__m"))
-    variants = variants.select("dataset", "rep", "swap", "__y", *_columns("__m", features))
     by = ("dataset", "swap", "rep")
-    shuffled = EV.wide_metrics(ML.score(model, variants, keep=by, label="__y"), by, hot_rows)
-    plain = rows.select("dataset", "__y", *_columns("__x", features))
-    base = EV.wide_metrics(ML.score(model, plain, label="__y"), hot_rows=hot_rows)
+    # scoring is the expensive part and feeds several aggregations, so its result is stored
+    scored = materialize(_score_arrays(model, variants, "__m", features, by, "__y"), "permuted-scores")
+    shuffled = EV.wide_metrics(scored, by, hot_rows)
+    base = EV.wide_metrics(_score_arrays(model, rows, "__x", features, ("dataset",), "__y"), hot_rows=hot_rows)
     drops, aggs = [], []
     for m in metrics:
         column, sign = IMPORTANCE_METRICS[m]
@@ -133,7 +147,7 @@ def partial_dependence(model: Transformer, df: DataFrame, features, all_features
     value = F.col("ends.lo") + (F.col("ends.hi") - F.col("ends.lo")) * F.col("k") / (points - 1)
     values = ends.select("dataset", "feature", "ends", step).select("dataset", "feature", value.alias("value"))
     # data sets x features x points rows
-    spread = rows.join(F.broadcast(values.distinct()), "dataset")
+    spread = _spread(rows).join(F.broadcast(values.distinct()), "dataset")
     spread = spread.select("dataset", "feature", "value", *[
         F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f)).alias(f) if f in features else F.col(f)
         for f in all_features])
@@ -150,29 +164,31 @@ def shapley_values(model: Transformer, df: DataFrame, features, permutations: in
     prediction per feature plus one.
     """
     features = list(features)
-    d = len(features)
     rows = df.select("dataset", F.col(id_column).alias("id"), _feature_array(features))
     paired = _with_partner(rows, "id", [seed + k for k in range(permutations)], hot_rows)
-    keyed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda k: F.struct(
-        F.xxhash64(F.col("id"), F.col("rep"), F.lit(seed), k).alias("h"), k.alias("k")))
-    order = F.transform(F.array_sort(keyed), lambda s: s["k"])
-    ordered = paired.select("dataset", "id", "rep", "__x", "other", order.alias("order"))
-    place = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda k: F.array_position("order", k))
-    steps = ordered.select("dataset", "id", "rep", "__x", "other", "order", place.alias("place"),
-                           F.explode(F.sequence(F.lit(0), F.lit(d))).alias("step"))
-    mixed = F.transform("__x", lambda v, i: F.when(F.get(F.col("place"), i) <= F.col("step"), v)
-                        .otherwise(F.get(F.col("other"), i)))
-    steps = steps.select("dataset", "id", "rep", "step", "order", mixed.alias("__m"))
-    scored = ML.score(model, steps.select("dataset", "id", "step", "order", *_columns("__m", features)),
-                      keep=("dataset", "id", "step", "order"))
-    # the score after step t counts for the feature that switched at t and against the one that switches next
-    parts = F.array(
-        F.struct(F.when(F.col("step") > 0, F.get(F.col("order"), F.col("step") - 1)).alias("k"), F.col("score").alias("v")),
-        F.struct(F.when(F.col("step") < d, F.get(F.col("order"), F.col("step"))).alias("k"), (-F.col("score")).alias("v")))
-    credit = scored.select("dataset", "id", F.explode(parts).alias("p")).where(F.col("p.k").isNotNull())
-    name = F.get(F.array(*[F.lit(f) for f in features]), F.col("p.k")).alias("feature")
-    return (credit.select("dataset", "id", name, F.col("p.v").alias("v")).groupBy("dataset", "id", "feature")
-            .agg((F.sum("v") / permutations).alias("phi")))
+    # A feature order is the order of one hash per feature: at a step, the features whose hash is at or below
+    # that step's cut have switched.
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)),
+                         lambda k: F.xxhash64(F.col("id"), F.col("rep"), F.lit(seed), k))
+    drawn = paired.select("dataset", "id", "__x", "other", hashes.alias("h"))
+    entries = F.array_sort(F.transform("h", lambda h, k: F.struct(h.alias("h"), k.alias("k"))))
+    drawn = _spread(drawn.select("*", entries.alias("entries")))
+    nothing = F.array(F.struct(F.lit(-(2 ** 63)).cast("long").alias("h"), F.lit(-1).alias("k")))
+    steps = drawn.select("dataset", "id", "__x", "other", "h", "entries",
+                         F.posexplode(F.concat(nothing, F.col("entries"))).alias("step", "at"))
+    mixed = F.transform("__x", lambda v, i: F.when(
+        (F.col("step") > 0) & (F.get(F.col("h"), i) <= F.col("at.h")), v).otherwise(F.get(F.col("other"), i)))
+    steps = steps.select("dataset", "id", F.col("at.k").alias("now"),
+                         F.get(F.col("entries"), F.col("step"))["k"].alias("next"), mixed.alias("__m"))
+    scored = _score_arrays(model, steps, "__m", features, ("dataset", "id", "now", "next"))
+    # the score after a step counts for the feature that switched there and against the one that switches next
+    parts = F.array(F.struct(F.col("now").alias("k"), F.col("score").alias("v")),
+                    F.struct(F.col("next").alias("k"), (-F.col("score")).alias("v")))
+    credit = scored.select("dataset", "id", F.explode(parts).alias("p")).where(F.col("p.k") >= 0)
+    sums = credit.groupBy("dataset", "id", F.col("p.k").alias("k")).agg(
+        (F.sum("p.v") / permutations).alias("phi"))
+    name = F.get(F.array(*[F.lit(f) for f in features]), F.col("k")).alias("feature")
+    return sums.select("dataset", "id", name, "phi")
 
 
 def shapley_summary(values: DataFrame) -> DataFrame:
