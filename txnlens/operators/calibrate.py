@@ -51,9 +51,13 @@ def apply(calibrator: Model, scored: DataFrame, name: str = "score_cal") -> Data
     return out.withColumn(name, F.get(vector_to_array("__p"), F.lit(1))).drop("__v", "__p", "__raw", "__cal")
 
 
-def calibrated(calibrator: Model, scored: DataFrame) -> DataFrame:
-    """The scored rows with the calibrated score in place of the raw one, ready for evaluation."""
-    return apply(calibrator, scored).drop("score").withColumnRenamed("score_cal", "score")
+def calibrated(calibrator: Model, scored: DataFrame, legacy: bool = False) -> DataFrame:
+    """The scored rows with the calibrated score in place of the raw one, ready for evaluation.
+
+    ``legacy`` calibrates twice, as published evaluations of calibrated scores did.
+    """
+    out = apply(calibrator, scored).drop("score").withColumnRenamed("score_cal", "score")
+    return calibrated(calibrator, out) if legacy else out
 
 
 def mapping_table(calibrator: Model, spark: SparkSession, increment: float = 0.0001) -> DataFrame:
