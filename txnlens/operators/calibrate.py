@@ -84,7 +84,7 @@ def reliability_curve(scored: DataFrame, bin_type: str = "uniform", n_bins: int
         binned = scored.withColumn("bin", above)
     else:
         found = MO.quantile_edges(scored.withColumnRenamed("score", "value"), list(by), n_bins, hot_rows)
-        inner = {k: e[1:-1] for k, e in found.items()}
+        inner = {tuple(str(v) for v in k): e[1:-1] for k, e in found.items()}
         # one row per data set
         edges = MO.edge_table(scored.sparkSession, list(by), inner.items(), n_bins)
         above = F.lit(0)

@@ -24,12 +24,25 @@ BIN_TYPES = ("fixed", "quantiles")
 
 
 def long_features(df: DataFrame, features, keep=("dataset",)) -> DataFrame:
-    """(keep..., feature, value) rows; missing values are left out, as they are in no bin."""
-    doubles = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features])
-    return doubles.unpivot(list(keep), list(features), "feature", "value").where(
+    """(keep..., feature, value) rows, ``feature`` being the position in ``features``.
+
+    Missing values are left out, as they are in no bin.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    return df.select(*keep, F.posexplode(values).alias("feature", "value")).where(
         F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _coded(df: DataFrame, datasets) -> DataFrame:
+    """Data set names as their positions: joins and groupings of many rows then compare integers."""
+    names = F.array(*[F.lit(d) for d in datasets])
+    return df.withColumn("dataset", (F.array_position(names, F.col("dataset")) - 1).cast("int"))
+
+
+def _name(names, column):
+    return F.get(F.array(*[F.lit(n) for n in names]), F.col(column))
+
+
 def quantile_edges(values: DataFrame, keys, n_bins: int, hot_rows: int = R.HOT_ROWS, exact: bool = True,
                    accuracy: int = 10_000) -> dict:
     """Distinct n-quantiles of ``value`` per key, as {key tuple: array}.
@@ -111,7 +124,9 @@ def bins(values: DataFrame, keys, bin_type: str = "fixed", n_bins: int = 10, leg
 
 def edge_table(spark: SparkSession, names, rows, n_bins: int) -> DataFrame:
     """Local table of (names..., n_edges, e0 ... en) from (name values, edges) pairs; unused edges are +inf."""
-    fields = [T.StructField(n, T.StringType(), False) for n in names]
+    rows = list(rows)
+    kinds = [T.IntegerType() if rows and isinstance(v, int) else T.StringType() for v in (rows[0][0] if rows else names)]
+    fields = [T.StructField(n, k, False) for n, k in zip(names, kinds)]
     fields.append(T.StructField("n_edges", T.IntegerType(), False))
     fields += [T.StructField(f"e{i}", T.DoubleType(), False) for i in range(n_bins + 1)]
     data = [(*key, len(e), *[float(x) for x in e], *[float("inf")] * (n_bins + 1 - len(e))) for key, e in rows]
@@ -119,7 +134,7 @@ def edge_table(spark: SparkSession, names, rows, n_bins: int) -> DataFrame:
 
 
 def bin_index(n_bins: int, legacy: bool):
-    """0-based bin of ``value`` among the right-closed bins of an edge table row, NULL outside them.
+    """0-based bin of ``value`` among the right-closed bins of an edge table row; out of range when outside.
 
     One comparison per edge, kept this plain so that the generated code is small enough to be compiled.
     """
@@ -130,21 +145,42 @@ def bin_index(n_bins: int, legacy: bool):
     return above - 1
 
 
-def binned_counts(values: DataFrame, edges: DataFrame, on, by, n_bins: int, legacy: bool) -> DataFrame:
-    """Row counts per (by..., n_edges, bin). ``edges`` has a row per data set and feature name (and pair)."""
+def cell_counts(values: DataFrame, cells, n_bins: int, legacy: bool, extra=()) -> DataFrame:
+    """(cell, extra..., bin, n): rows per bin. ``cells`` lists (feature position, data set position, edges).
+
+    The cell number is the position in that list. A value may belong to several cells. The list has an entry
+    per feature, data set and pair, so it is broadcast.
+    """
+    rows = [((f, d, k), e) for k, (f, d, e) in enumerate(cells)]
+    edges = edge_table(values.sparkSession, ["feature", "dataset", "cell"], rows, n_bins)
+    inside = F.when(F.col("bin") < F.col("n_edges") - 1, F.col("bin"))
     return (
-        values.join(F.broadcast(edges), list(on))
-        .select(*by, "n_edges", bin_index(n_bins, legacy).alias("bin"))
-        .groupBy(*by, "n_edges", "bin").agg(F.count(F.lit(1)).alias("n"))
-        .where((F.col("bin") >= 0) & (F.col("bin") < F.col("n_edges") - 1))
+        values.join(F.broadcast(edges), ["feature", "dataset"])
+        .select("cell", *extra, "n_edges", bin_index(n_bins, legacy).alias("bin"))
+        .select("cell", *extra, inside.alias("bin"))
+        .groupBy("cell", *extra, "bin").agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("bin") >= 0)
     )
 
 
-def bin_table(spark, found: dict, names) -> DataFrame:
-    """(names..., bin, lower, upper): every bin of every key."""
-    rows = [(*key, i, float(e[i]), float(e[i + 1])) for key, e in found.items() for i in range(len(e) - 1)]
-    schema = ", ".join(f"{n} string" for n in names) + ", bin int, lower double, upper double"
-    return spark.createDataFrame(rows, schema)
+def bin_grid(spark, keyed, names, n_bins: int) -> DataFrame:
+    """(cell, names..., bin, lower, upper): every bin of every cell, from (name values, edges) pairs."""
+    rows = [(c, *key, i, float(e[i]), float(e[i + 1])) for c, (key, e) in enumerate(keyed) for i in range(len(e) - 1)]
+    text = ", ".join(f"{n} string" for n in names)
+    return spark.createDataFrame(rows, f"cell int, {text}, bin int, lower double, upper double")
+
+
+def bin_table(df: DataFrame, features, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False, extra=(),
+              hot_rows: int = R.HOT_ROWS, exact: bool = True):
+    """(grid, counts) of the bins of each data set and feature: two passes, edges and then counts by cell."""
+    values = long_features(df, features)
+    found = bins(values, ["dataset", "feature"], bin_type, n_bins, legacy, hot_rows, exact)
+    datasets = sorted({d for d, _ in found})
+    coded = long_features(_coded(df, datasets), features, keep=("dataset", *extra))
+    keys = sorted(found)
+    counts = cell_counts(coded, [(f, datasets.index(d), found[d, f]) for d, f in keys], n_bins, legacy, extra)
+    grid = bin_grid(df.sparkSession, [((d, features[f]), found[d, f]) for d, f in keys], ["dataset", "feature"], n_bins)
+    return grid, counts
 
 
 def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False,
@@ -154,44 +190,48 @@ def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins:
     Two passes: edges, then one count per (feature, pair, data set, bin).
     """
     _check_bins(bin_type)
+    features, datasets = list(features), list(datasets)
     spark = df.sparkSession
-    values = long_features(df.where(F.col("dataset").isin(list(datasets))), features)
+    df = df.where(F.col("dataset").isin(datasets))
+    values = long_features(_coded(df, datasets), features)
     ends = _ends(values, ["feature", "dataset"])
     quantiles = quantile_edges(values, ["feature", "dataset"], n_bins, hot_rows, exact) if bin_type == "quantiles" else {}
-    rows = []
-    for feature in dict.fromkeys(f for f, _ in ends):
-        for a, b in combinations([d for d in datasets if (feature, d) in ends], 2):
-            (lo1, hi1), (lo2, hi2) = ends[feature, a], ends[feature, b]
+    cells, listed = [], []
+    for f in range(len(features)):
+        for a, b in combinations([d for d in range(len(datasets)) if (f, d) in ends], 2):
+            (lo1, hi1), (lo2, hi2) = ends[f, a], ends[f, b]
             lo, hi = min(lo1, lo2), max(lo1 if legacy else hi1, hi2)
             if bin_type == "fixed":
                 e = fixed_edges(lo, hi, n_bins)
             else:
-                e = quantiles[feature, a].copy()
+                e = quantiles[f, a].copy()
                 if not legacy:  # open the outer bins to both sets
                     e[0], e[-1] = lo, hi
             e = widen(e, legacy)
-            rows += [((feature, d, a, b), e) for d in (a, b)]
-    edges = edge_table(spark, ["feature", "dataset", "dataset1", "dataset2"], rows, n_bins)
-    pair = ["feature", "dataset1", "dataset2"]
-    counts = binned_counts(values, edges, ["feature", "dataset"], [*pair, "dataset"], n_bins, legacy)
+            for side, d in ((1, a), (2, b)):
+                listed.append((len(cells), datasets[a], datasets[b], features[f], side, len(e) - 1))
+                cells.append((f, d, e))
+    names = spark.createDataFrame(
+        listed, "cell int, dataset1 string, dataset2 string, feature string, side int, bins int")
+    counts = cell_counts(values, cells, n_bins, legacy)
+    pair = ["dataset1", "dataset2", "feature"]
 
     def of(side):
-        return F.sum(F.when(F.col("dataset") == F.col(side), F.col("n")).otherwise(0))
+        return F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(0))
 
-    per_bin = counts.groupBy(*pair, "n_edges", "bin").agg(of("dataset1").alias("c1"), of("dataset2").alias("c2"))
-    whole = Window.partitionBy(*pair)  # at most n_bins rows
+    # from here on there are at most n_bins rows per feature, pair and side
+    per_bin = names.join(counts, "cell", "left").groupBy(*pair, "bins", "bin").agg(of(1).alias("c1"), of(2).alias("c2"))
+    whole = Window.partitionBy(*pair)
 
     def rate(c):
         r = F.coalesce(F.try_divide(F.col(c), F.sum(c).over(whole)), F.lit(0.0))
         return F.when(r == 0, F.lit(EPS)).otherwise(r)
 
-    rated = per_bin.select(*pair, "n_edges", rate("c1").alias("r1"), rate("c2").alias("r2"))
+    rated = per_bin.select(*pair, "bins", rate("c1").alias("r1"), rate("c2").alias("r2"))
     # bins empty on both sides add nothing; they count in the mean
     total = F.sum((F.col("r1") - F.col("r2")) * F.ln(F.col("r1") / F.col("r2")))
-    value = total / (F.max("n_edges") - 1) if legacy else total
-    listed = edges.select(*pair).distinct()  # a pair whose values fall in no bin at all differs nowhere
-    return (listed.join(rated.groupBy(*pair).agg(value.alias("csi")), pair, "left")
-            .select("dataset1", "dataset2", "feature", F.coalesce("csi", F.lit(0.0)).alias("csi")))
+    value = total / F.max("bins") if legacy else total
+    return rated.groupBy(*pair).agg(value.alias("csi")).select(*pair, "csi")
 
 
 def psi(df: DataFrame, datasets, score: str = "score", **options) -> DataFrame:
@@ -217,14 +257,11 @@ def in_order(df: DataFrame, column: str, order) -> DataFrame:
 def woe(df: DataFrame, features, label: str, bin_type: str = "quantiles", n_bins: int = 10, legacy: bool = False,
         hot_rows: int = R.HOT_ROWS, exact: bool = True) -> DataFrame:
     """Weight of evidence per data set, feature and bin, with a half-count adjusted form."""
-    keys = ["dataset", "feature"]
-    values = long_features(df, features, keep=("dataset", label))
-    found = bins(values, keys, bin_type, n_bins, legacy, hot_rows, exact)
-    edges = edge_table(df.sparkSession, keys, found.items(), n_bins)
-    counted = binned_counts(values, edges, keys, [*keys, label], n_bins, legacy)
-    counted = counted.groupBy(*keys, "bin").agg(
+    features, keys = list(features), ["dataset", "feature"]
+    grid, counted = bin_table(df, features, bin_type, n_bins, legacy, (label,), hot_rows, exact)
+    counted = counted.groupBy("cell", "bin").agg(
         *[F.sum(F.when(F.col(label) == k, F.col("n")).otherwise(0)).alias(f"cnt_{k}") for k in (0, 1)])
-    counts = bin_table(df.sparkSession, found, keys).join(counted, [*keys, "bin"], "left").fillna(0, ["cnt_0", "cnt_1"])
+    counts = grid.join(counted, ["cell", "bin"], "left").fillna(0, ["cnt_0", "cnt_1"])
     whole = Window.partitionBy(*keys)  # at most n_bins rows
     c = counts.withColumn("t0", F.sum("cnt_0").over(whole)).withColumn("t1", F.sum("cnt_1").over(whole))
     p0, p1 = F.try_divide("cnt_0", "t0"), F.try_divide("cnt_1", "t1")
@@ -285,15 +322,11 @@ def cross_products(df: DataFrame, columns) -> DataFrame:
     return out.join(F.broadcast(left), ["dataset", "i"]).join(F.broadcast(right), ["dataset", "j"])
 
 
-def _names(columns, k):
-    return F.get(F.array(*[F.lit(c) for c in columns]), F.col(k))
-
-
 def gram(products: DataFrame, columns) -> DataFrame:
     """Uncentred second moments: sum of x_i * x_j for every pair i <= j."""
     xy = (F.col("sxy") + F.col("mx") * F.col("sy") + F.col("my") * F.col("sx")
           + F.col("n") * F.col("mx") * F.col("my"))
-    return products.select("dataset", _names(columns, "i").alias("feature_1"), _names(columns, "j").alias("feature_2"),
+    return products.select("dataset", _name(columns, "i").alias("feature_1"), _name(columns, "j").alias("feature_2"),
                            F.col("n").cast("long").alias("n"), xy.alias("xy"))
 
 
@@ -304,8 +337,8 @@ def correlations(products: DataFrame, columns) -> DataFrame:
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
     vy = F.col("syy") - F.col("sy") * F.col("sy") / n
     r = F.try_divide(cov, F.sqrt(F.when((vx > 0) & (vy > 0), vx * vy)))
-    upper = products.where("i < j").select("dataset", _names(columns, "i").alias("feature_1"),
-                                           _names(columns, "j").alias("feature_2"), r.alias("correlation"))
+    upper = products.where("i < j").select("dataset", _name(columns, "i").alias("feature_1"),
+                                           _name(columns, "j").alias("feature_2"), r.alias("correlation"))
     lower = upper.select("dataset", F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"),
                          "correlation")
     return upper.unionByName(lower)
@@ -325,7 +358,7 @@ def corr_matrix(df: DataFrame, columns) -> DataFrame:
     columns = list(columns)
     products = cross_products(df, columns)
     own = products.where("i = j").select(
-        "dataset", _names(columns, "i").alias("feature_1"), _names(columns, "i").alias("feature_2"),
+        "dataset", _name(columns, "i").alias("feature_1"), _name(columns, "i").alias("feature_2"),
         F.when(F.col("sxx") > 0, F.lit(1.0)).alias("correlation"))
     rows = correlations(products, columns).unionByName(own)
     return rows.groupBy("dataset", F.col("feature_1").alias("feature")).pivot("feature_2", columns).agg(

@@ -444,12 +444,8 @@ for _name, _type in (("bins_fixed", "fixed"), ("bins_quantile", "quantiles")):
 
 
 def _bin_table(t, bin_type):
-    keys = ["dataset", "feature"]
-    values = MO.long_features(_lines(t), O.LINE_FEATURES)
-    found = MO.bins(values, keys, bin_type)
-    edges = MO.edge_table(t.spark, keys, found.items(), 10)
-    counts = MO.binned_counts(values, edges, keys, keys, 10, False)
-    out = MO.bin_table(t.spark, found, keys).join(counts, [*keys, "bin"], "left").fillna(0, ["n"])
+    grid, counts = MO.bin_table(_lines(t), O.LINE_FEATURES, bin_type)
+    out = grid.join(counts, ["cell", "bin"], "left").fillna(0, ["n"])
     return rounded(out.select("dataset", "feature", "bin", "lower", "upper", "n"))
 
 
