@@ -286,7 +286,7 @@ def cross_products(df: DataFrame, columns) -> DataFrame:
     A pair counts the rows where both values are present.
     """
     columns = list(columns)
-    wanted = df.select("dataset", *[F.col(c).cast("double").alias(c) for c in columns])
+    wanted = df.select("dataset", *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
     rows = wanted.groupBy("dataset").agg(*[F.avg(c).alias(c) for c in columns]).collect()
     means = {r["dataset"]: np.array([r[c] or 0.0 for c in columns]) for r in rows}
     upper = np.triu_indices(len(columns))
@@ -312,7 +312,7 @@ def cross_products(df: DataFrame, columns) -> DataFrame:
     schema = "dataset string, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
     out = wanted.mapInPandas(partial, schema).groupBy("dataset", "i", "j").agg(*[F.sum(c).alias(c) for c in sums])
-    # undo nothing here: correlation and VIF want centred sums; gram() puts the means back
+    # correlation and VIF want the centred sums; gram() puts the means back
     centre = df.sparkSession.createDataFrame(
         [(name, k, float(v)) for name, mean in means.items() for k, v in enumerate(mean)],
         "dataset string, k int, mean double")
@@ -333,9 +333,9 @@ def gram(products: DataFrame, columns) -> DataFrame:
 def correlations(products: DataFrame, columns) -> DataFrame:
     """Pearson correlation of every ordered pair of different columns; NULL where one is constant."""
     n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
+    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
     r = F.try_divide(cov, F.sqrt(F.when((vx > 0) & (vy > 0), vx * vy)))
     upper = products.where("i < j").select("dataset", _name(columns, "i").alias("feature_1"),
                                            _name(columns, "j").alias("feature_2"), r.alias("correlation"))

@@ -20,12 +20,12 @@ def cluster_rows(df: DataFrame, cluster_by) -> DataFrame:
 
 
 def write_table(df: DataFrame, table: str, disposition: str = "EMPTY", partition_by=None, cluster_by=None,
-                relax_schema: bool = False) -> None:
+                relax_schema: bool = False, replace_partitions: bool = False) -> None:
     """Save as a managed table.
 
-    TRUNCATE replaces (with ``partition_by``: only the partitions present in ``df``), APPEND adds, EMPTY
-    needs the table to be absent or without rows. ``relax_schema`` lets an append bring new columns or
-    leave out existing ones; the table is then rewritten under the merged schema.
+    TRUNCATE replaces the table (with ``replace_partitions``: only the partitions present in ``df``), APPEND
+    adds, EMPTY needs the table to be absent or without rows. ``relax_schema`` lets an append bring new
+    columns, which are NULL in existing rows, or leave out existing ones.
     """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"disposition must be one of {sorted(DISPOSITIONS)}, not {disposition!r}")
@@ -46,11 +46,14 @@ def write_table(df: DataFrame, table: str, disposition: str = "EMPTY", partition
         df = align(df, have)
     if cluster_by:
         df = cluster_rows(df, [*(partition_by or []), *cluster_by])
-    if disposition == "TRUNCATE" and exists and partition_by:
-        # insertInto with dynamic overwrite replaces only the partitions that df contains
-        columns = spark.table(table).columns
-        (df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .insertInto(table))
+    if disposition == "TRUNCATE" and exists and replace_partitions:
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
         return
     if mode == "append" and exists:
         df.select(*spark.table(table).columns).write.insertInto(table)
