@@ -88,9 +88,13 @@ def _interpolated(rows, shares) -> np.ndarray:
     return np.unique(out)
 
 
-def fixed_edges(lo: float, hi: float, n_bins: int) -> np.ndarray:
-    """n + 1 equally spaced edges."""
-    return np.array([lo + (hi - lo) * i / n_bins for i in range(n_bins + 1)])
+def fixed_edges(lo: float, hi: float, n_bins: int, legacy: bool = False) -> np.ndarray:
+    """n + 1 equally spaced edges. The last is ``hi`` itself, which the formula can miss by a rounding; the
+    legacy form keeps the formula, as its widening covers that."""
+    edges = np.array([lo + (hi - lo) * i / n_bins for i in range(n_bins + 1)])
+    if not legacy:
+        edges[-1] = hi
+    return edges
 
 
 def widen(edges: np.ndarray, legacy: bool) -> np.ndarray:
@@ -118,7 +122,7 @@ def bins(values: DataFrame, keys, bin_type: str = "fixed", n_bins: int = 10, leg
     if bin_type == "quantiles":
         found = quantile_edges(values, keys, n_bins, hot_rows, exact)
     else:
-        found = {k: fixed_edges(lo, hi, n_bins) for k, (lo, hi) in _ends(values, keys).items()}
+        found = {k: fixed_edges(lo, hi, n_bins, legacy) for k, (lo, hi) in _ends(values, keys).items()}
     return {k: widen(e, legacy) for k, e in found.items()}
 
 
@@ -202,7 +206,7 @@ def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins:
             (lo1, hi1), (lo2, hi2) = ends[f, a], ends[f, b]
             lo, hi = min(lo1, lo2), max(lo1 if legacy else hi1, hi2)
             if bin_type == "fixed":
-                e = fixed_edges(lo, hi, n_bins)
+                e = fixed_edges(lo, hi, n_bins, legacy)
             else:
                 e = quantiles[f, a].copy()
                 if not legacy:  # open the outer bins to both sets

@@ -232,8 +232,9 @@ _CTES["lval_"] = " UNION ALL ".join(
 _CTES["sval_"] = "SELECT dataset, y AS label, 'score' AS feature, score AS value FROM scored_"
 
 
-def _edge_list(lo, hi):
-    return f"list_transform(range(0, 11), lambda i: {lo} + ({hi} - {lo}) * i / 10)"
+def _edge_list(lo, hi, legacy):
+    last = "" if legacy else f"WHEN i = 10 THEN {hi} "
+    return f"list_transform(range(0, 11), lambda i: CASE {last}WHEN true THEN {lo} + ({hi} - {lo}) * i / 10 END)"
 
 
 def _widened(edges, legacy):
@@ -253,7 +254,7 @@ def csi_ctes(source, order, bin_type="fixed", legacy=False):
     names = ", ".join(f"('{n}', {i})" for i, n in enumerate(order))
     hi = "greatest(a.lo, b.hi)" if legacy else "greatest(a.hi, b.hi)"
     if bin_type == "fixed":
-        edges = _edge_list("lo", "hi")
+        edges = _edge_list("lo", "hi", legacy)
     else:
         edges = "q1"
         if not legacy:
@@ -283,7 +284,7 @@ FROM (SELECT *, (r1 - r2) * ln(r1 / r2) AS d FROM pr_) GROUP BY d1, d2, feature"
 
 def bin_ctes(source, bin_type, legacy=False):
     """Parts that end in bc_(dataset, feature, bin, lower, upper, cnt_0, cnt_1) with empty bins included."""
-    edges = _edge_list("lo", "hi") if bin_type == "fixed" else "q"
+    edges = _edge_list("lo", "hi", legacy) if bin_type == "fixed" else "q"
     return {
         "be_": f"""SELECT dataset, feature, {_widened('e0', legacy)} AS edges FROM (SELECT *, {edges} AS e0 FROM (
   SELECT dataset, feature, min(value) AS lo, max(value) AS hi,
