@@ -17,6 +17,7 @@ from txnlens.functions.scalars import grid_cell
 from txnlens.operators import running as R
 
 BY = ("dataset",)
+MAX_GROUPS = 100_000  # tables with a row per data set are broadcast up to this many rows, which is checked
 # Fixed value: probabilities are clipped at the machine epsilon of a double before taking logs.
 EPSILON = 2.220446049250313e-16
 HIGHER_IS_BETTER = {"average_precision": True, "aucpr": True, "auc": True, "log_loss": False, "brier_loss": False}
@@ -35,7 +36,9 @@ def cumulative(scored: DataFrame, by=BY, hot_rows: int = R.HOT_ROWS) -> DataFram
     groups = score_groups(scored, by).withColumn("__down", -F.col("score"))
     sums = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
     totals = {"P": ("sum", F.col("pos")), "N": ("sum", F.col("neg"))}
-    return R.prefix_sums(groups, by, "__down", sums, totals, hot_rows).drop("__down")
+    # the number of distinct scores is estimated on the rows, so that the grouping runs once
+    return R.prefix_sums(groups, by, "__down", sums, totals, hot_rows, scored,
+                         F.approx_count_distinct("score")).drop("__down")
 
 
 def _precision(tp, fp):
@@ -70,14 +73,18 @@ def det_curve(scored, by=BY, hot_rows: int = R.HOT_ROWS, cum=None) -> DataFrame:
     catches every positive.
     """
     c = cumulative(scored, by, hot_rows) if cum is None else cum
+    few = scored.select(*by).distinct().limit(MAX_GROUPS + 1).count() <= MAX_GROUPS
+
+    def per_group(frame):
+        return F.broadcast(frame) if few else frame
+
     lowest = c.groupBy(*by).agg(F.max_by("fp", "score").alias("__fp0"))
-    # one row per data set
-    tagged = c.join(F.broadcast(lowest), [*by])
+    tagged = c.join(per_group(lowest), [*by])
     ends = tagged.groupBy(*by).agg(
         F.min(F.when(F.col("fp") == F.col("__fp0"), F.col("score"))).alias("__hi"),
         F.max(F.when(F.col("tp") == F.col("P"), F.col("score"))).alias("__lo"),
     )
-    kept = c.join(F.broadcast(ends), [*by]).where(F.col("score").between(F.col("__lo"), F.col("__hi")))
+    kept = c.join(per_group(ends), [*by]).where(F.col("score").between(F.col("__lo"), F.col("__hi")))
     return kept.select(*by, F.col("score").alias("threshold"), F.try_divide("fp", "N").alias("fpr"),
                        F.try_divide(F.col("P") - F.col("tp"), F.col("P")).alias("fnr"))
 
@@ -147,8 +154,7 @@ METRIC_TITLES = {
 
 def wide_metrics(scored, by=BY, hot_rows: int = R.HOT_ROWS) -> DataFrame:
     """Every metric, one row per data set."""
-    # one row per data set on either side
-    return curve_metrics(scored, by, hot_rows).join(F.broadcast(losses(scored, by)), [*by])
+    return curve_metrics(scored, by, hot_rows).join(losses(scored, by), [*by])
 
 
 def metrics_table(scored, by=BY, hot_rows: int = R.HOT_ROWS) -> DataFrame:

@@ -17,7 +17,7 @@ from txnlens.operators import evaluate as EV
 from txnlens.operators import model as ML
 from txnlens.operators import running as R
 from txnlens.operators.monitor import in_order
-from txnlens.sources.writers import materialize, scratch_root
+from txnlens.sources.writers import broadcast_if_small, materialize, scratch_root
 
 # Importance metrics and the evaluation columns they are read from (sign: higher is better).
 IMPORTANCE_METRICS = {"roc_auc": ("roc_auc", 1), "average_precision": ("average_precision", 1),
@@ -102,8 +102,7 @@ def permutation_importance(model: Transformer, df: DataFrame, features, label: s
     base = base.select("dataset", *[F.col(c).alias(f"__b_{c}") for c in
                                     dict.fromkeys(IMPORTANCE_METRICS[m][0] for m in metrics)])
     name = F.get(F.array(*[F.lit(f) for f in features]), F.col("swap")).alias("feature")
-    # one row per data set
-    out = shuffled.join(F.broadcast(base), "dataset").select("dataset", name, *drops)
+    out = shuffled.join(base, "dataset").select("dataset", name, *drops)
     return out.groupBy("dataset", "feature").agg(*aggs).orderBy("dataset", F.desc(f"{metrics[0]}_mean"), "feature")
 
 
@@ -146,8 +145,7 @@ def partial_dependence(model: Transformer, df: DataFrame, features, all_features
     step = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k")
     value = F.col("ends.lo") + (F.col("ends.hi") - F.col("ends.lo")) * F.col("k") / (points - 1)
     values = ends.select("dataset", "feature", "ends", step).select("dataset", "feature", value.alias("value"))
-    # data sets x features x points rows
-    spread = _spread(rows).join(F.broadcast(values.distinct()), "dataset")
+    spread = _spread(rows).join(broadcast_if_small(values.distinct(), 200_000), "dataset")
     spread = spread.select("dataset", "feature", "value", *[
         F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f)).alias(f) if f in features else F.col(f)
         for f in all_features])

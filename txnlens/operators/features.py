@@ -104,7 +104,7 @@ def features_txn(tx: DataFrame, start=None, end=None, generated: bool = False) -
 
 def existing_snapshots(tx: DataFrame, calendar: DataFrame) -> DataFrame:
     """Snapshot dates for which a profile has any row: those whose look-back holds a transaction."""
-    return tx.select("date").distinct().join(F.broadcast(calendar), "date").select("profileDate").distinct()
+    return tx.select("date").distinct().join(calendar, "date").select("profileDate").distinct()
 
 
 def asof_profile_date(tx: DataFrame, snapshots: DataFrame, end=None) -> DataFrame:
@@ -122,7 +122,7 @@ def asof_profile_date(tx: DataFrame, snapshots: DataFrame, end=None) -> DataFram
     # only, then joins back by equality.
     days = (tx.select("date").distinct().withColumn("__dates", listed)
             .select("date", F.array_max(F.filter("__dates", lambda d: d <= F.col("date"))).alias("profileDate")))
-    return tx.join(F.broadcast(days), "date", "left")  # at most one row per calendar day
+    return tx.join(F.broadcast(days), "date", "left")  # a DATE has at most 366 values a year, each once here
 
 
 def _profile_side(profile: DataFrame) -> DataFrame:

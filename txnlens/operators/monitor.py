@@ -58,7 +58,7 @@ def quantile_edges(values: DataFrame, keys, n_bins: int, hot_rows: int = R.HOT_R
         return {tuple(r[k] for k in keys): np.unique(r["q"]) for r in q.collect()}
     groups = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     c = R.prefix_sums(groups, keys, "value", {"upto": ("sum", F.col("n"))},
-                      {"total": ("sum", F.col("n"))}, hot_rows)
+                      {"total": ("sum", F.col("n"))}, hot_rows, values, F.approx_count_distinct("value"))
     # Keep a value when a wanted rank lies in its run of ranks or next to it: the last wanted rank at or
     # before the run's end must not be before its start.
     gaps = F.expr("greatest(total - 1, 1)")

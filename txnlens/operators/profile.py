@@ -13,6 +13,7 @@ from txnlens.functions.scalars import seconds_between
 from txnlens.operators import running as R
 
 QUANTILE_ACCURACY = 10_000
+MAX_BROADCAST_DAYS = 500_000  # calendar rows; monthly snapshots with a year of look-back need 365 each
 
 
 def add_months(day: dt.date, months: int) -> dt.date:
@@ -41,7 +42,8 @@ def snapshot_calendar(spark: SparkSession, snapshots, lookback_days: int | None
     for snap in snapshots:
         first = snap - dt.timedelta(days=lookback_days) if lookback_days else add_months(snap, -lookback_months)
         rows += [(first + dt.timedelta(days=i), snap, first) for i in range((snap - first).days)]
-    return spark.createDataFrame(rows, "date date, profileDate date, windowStart date")
+    calendar = spark.createDataFrame(rows, "date date, profileDate date, windowStart date")
+    return F.broadcast(calendar) if len(rows) <= MAX_BROADCAST_DAYS else calendar
 
 
 def _stats(column, name):
@@ -72,7 +74,7 @@ def count_stats():
 
 
 def _with_snapshots(tx: DataFrame, calendar: DataFrame) -> DataFrame:
-    return tx.join(F.broadcast(calendar), "date")
+    return tx.join(calendar, "date")
 
 
 def per_customer(tx: DataFrame, hot_rows: int = R.HOT_ROWS) -> list:

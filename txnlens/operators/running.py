@@ -44,12 +44,13 @@ class Split:
         return self.frame.drop(BLOCK) if self.hot else self.frame
 
 
-def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS):
+def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS, size: Column | None = None):
     """Keys with more rows than one task should hold, as ``(DataFrame of keys and n, largest n, limit)``.
 
     None when there is none. At most MAX_HOT_KEYS rows: the limit is never below total / MAX_HOT_KEYS.
+    ``size`` is the aggregate that counts a key's rows, if not one per row of ``df``.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*keys).agg((F.count(F.lit(1)) if size is None else size).alias("n"))
     total, top = counts.agg(F.sum("n"), F.max("n")).first()
     limit = max(hot_rows, (total or 0) // MAX_HOT_KEYS)
     if not top or top <= limit:
@@ -57,18 +58,24 @@ def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS):
     return counts.where(F.col("n") > limit), top, limit
 
 
-def split(df: DataFrame, keys, position: Column, hot_rows: int = HOT_ROWS) -> Split:
-    """Cut the rows of hot keys into blocks along ``position`` (numeric, rising with the wanted order)."""
+def split(df: DataFrame, keys, position: Column, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
+          size: Column | None = None) -> Split:
+    """Cut the rows of hot keys into blocks along ``position`` (numeric, rising with the wanted order).
+
+    ``counted`` is a cheaper frame to find the hot keys on: one that holds at least the rows of ``df`` (it
+    then gives the block edges too), or one whose aggregate ``size`` estimates a key's rows in ``df``.
+    """
     keys = list(keys)
-    found = hot_keys(df, keys, hot_rows)
+    found = hot_keys(df if counted is None else counted, keys, hot_rows, size)
     if found is None:
         return Split(df, tuple(keys), False)
     hot, top, limit = found
     blocks = min(-(-top // limit) * 2, MAX_HOT_KEYS)
     shares = [i / blocks for i in range(1, blocks)]
+    source = df if counted is None or size is not None else counted
     edges = (
         # hot has at most MAX_HOT_KEYS rows (see hot_keys), so it may be broadcast
-        df.join(F.broadcast(hot.select(*keys)), keys)
+        source.join(F.broadcast(hot.select(*keys)), keys)
         .groupBy(*keys)
         .agg(F.array_distinct(F.percentile_approx(position, shares, max(10_000, 4 * blocks))).alias("__edges"))
     )
@@ -172,7 +179,7 @@ def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = Fal
 
 
 def prefix_sums(df: DataFrame, keys, position: str, aggs: dict, totals: dict | None = None,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, counted: DataFrame | None = None, size: Column | None = None) -> DataFrame:
     """Cumulative sums per key along a numeric column, ascending, with optional whole-key totals."""
-    rows = split(df, keys, F.col(position), hot_rows)
+    rows = split(df, keys, F.col(position), hot_rows, counted, size)
     return rows.on(running(rows, [position], aggs, totals=totals)).done()

@@ -21,13 +21,17 @@ RUNNING = (
 )
 
 
+def in_range(events: DataFrame, start=None, end=None) -> DataFrame:
+    return events.where(date_range("timestamp", start, end)) if (start or end) else events
+
+
 def dedupe(events: DataFrame, start=None, end=None) -> DataFrame:
     """One row per ``uniqueId`` in the half-open time range, the earliest one.
 
     Spark limits each map task's output to one row per id before the shuffle (row_number = 1), so many
     copies of one id do not meet in one task.
     """
-    rows = events.where(date_range("timestamp", start, end)) if (start or end) else events
+    rows = in_range(events, start, end)
     w = Window.partitionBy("uniqueId").orderBy("timestamp", "sessionId", "action")
     return (rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn"))
 
@@ -40,13 +44,15 @@ def _count(condition):
     return ("sum", F.when(condition, 1).otherwise(0).cast("long"))
 
 
-def running_state(deduped: DataFrame, hot_rows: int = R.HOT_ROWS) -> DataFrame:
+def running_state(deduped: DataFrame, hot_rows: int = R.HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Every event with the login location and the running aggregates of its session.
 
+    ``counted``: the events before deduplication, on which long sessions are found without repeating it.
+
     One shuffle on the session and two sorts: by (session, recipient) for the count of transactions to the
     recipient, then by session for the rest. A recipient counts as new where that count reaches one.
     """
-    rows = R.split(deduped, ["sessionId"], F.unix_timestamp("timestamp"), hot_rows).clustered()
+    rows = R.split(deduped, ["sessionId"], F.unix_timestamp("timestamp"), hot_rows, counted).clustered()
     to_recipient = is_txn() & F.col("recipient").isNotNull()
     rows = rows.on(R.running(rows, ORDER, {"recipientTransactionCount": _count(to_recipient)},
                              extra_keys=["recipient"]))
@@ -76,7 +82,7 @@ def running_state(deduped: DataFrame, hot_rows: int = R.HOT_ROWS) -> DataFrame:
 
 def transactions(events: DataFrame, start=None, end=None, hot_rows: int = R.HOT_ROWS) -> DataFrame:
     """Transaction rows with the login location and the running aggregates of the session so far."""
-    state = running_state(dedupe(events, start, end), hot_rows)
+    state = running_state(dedupe(events, start, end), hot_rows, in_range(events, start, end))
     return state.where(is_txn()).select(
         "fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp",
         F.to_date("timestamp").alias("date"), "action",

@@ -144,7 +144,8 @@ def model(t: Tables):
 
 
 def model_scores(t: Tables) -> DataFrame:
-    """(dataset, uniqueId, amount, y, score) of the fitted model."""
+    """(dataset, uniqueId, amount, y, score) of the fitted model, stored: evaluations read it more than once."""
     from txnlens.operators import model as ML
 
-    return ML.score(model(t), t.feature_sets(), keep=("dataset", "uniqueId", "amount"), label="fraudLabel")
+    return t._once("model_scores", lambda: ML.score(
+        model(t), t.feature_sets(), keep=("dataset", "uniqueId", "amount"), label="fraudLabel"))
