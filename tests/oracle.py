@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -54,7 +55,7 @@ def main(sf="0.01", *names):
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", os.environ.get("PARTITIONS", "8"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -137,37 +137,54 @@ def edge_table(spark: SparkSession, names, rows, n_bins: int) -> DataFrame:
     return spark.createDataFrame(data, T.StructType(fields))
 
 
-def bin_index(n_bins: int, legacy: bool):
-    """0-based bin of ``value`` among the right-closed bins of an edge table row; out of range when outside.
+def cell_counts(values: DataFrame, cells, legacy: bool, extra=()) -> DataFrame:
+    """(cell, extra..., bin, n): rows per right-closed bin. ``cells`` lists (feature position, data set
+    position, edges), the cell number being the position in that list; a value may belong to several cells.
 
-    One comparison per edge, kept this plain so that the generated code is small enough to be compiled.
+    The edges of all cells of a feature and data set are merged, so a value is placed once among them and
+    counted once. Which bin of which cell a gap between merged edges belongs to is looked up afterwards, on
+    the counts.
     """
-    first = F.col("value") > F.col("e0") if legacy else F.col("value") >= F.col("e0")
-    above = first.cast("int")
-    for i in range(1, n_bins + 1):
-        above = above + (F.col("value") > F.col(f"e{i}")).cast("int")
-    return above - 1
-
+    spark = values.sparkSession
+    cuts = [np.array(e, dtype=float) for _, _, e in cells]
+    if not legacy:
+        for c in cuts:  # the lowest bin is closed: above the next smaller number means at or above the edge
+            c[0] = np.nextafter(c[0], -np.inf)
+    merged: dict = {}
+    for (f, d, _), c in zip(cells, cuts):
+        merged.setdefault((f, d), []).append(c)
+    merged = {key: np.unique(np.concatenate(parts)) for key, parts in merged.items()}
+    gaps = []
+    for k, ((f, d, e), c) in enumerate(zip(cells, cuts)):
+        bin_of = np.searchsorted(c, merged[f, d], side="right") - 1
+        gaps += [(f, d, j + 1, k, int(i)) for j, i in enumerate(bin_of) if 0 <= i < len(e) - 1]
+    gaps = spark.createDataFrame(gaps, "feature int, dataset int, slot int, cell int, bin int")
+    # one row per feature and data set
+    edges = spark.createDataFrame([(f, d, [float(x) for x in u]) for (f, d), u in merged.items()],
+                                  "feature int, dataset int, edges array<double>")
+    most = max((len(u) for u in merged.values()), default=1)
+    placed = _edges_below(values.join(F.broadcast(edges), ["feature", "dataset"]),
+                          ["feature", "dataset", *extra], most)
+    counted = placed.groupBy("feature", "dataset", *extra, "slot").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(gaps, ["feature", "dataset", "slot"]).groupBy("cell", *extra, "bin").agg(F.sum("n").alias("n"))
+
+
+def _edges_below(rows: DataFrame, keep, most: int) -> DataFrame:
+    """(keep..., slot): how many of ``edges`` (sorted, at most ``most``) are below ``value``.
+
+    A halving search written as one projection per step: a few comparisons whatever the number of edges, in
+    code small enough to be compiled.
+    """
+    found = F.lit(0)
+    step = 1 << max(0, most.bit_length() - 1)
+    while step:
+        up = F.coalesce(F.col("value") > F.get(F.col("edges"), found + (step - 1)), F.lit(False))
+        rows = rows.select(*keep, "value", "edges", (found + F.when(up, step).otherwise(0)).alias("slot"))
+        found, step = F.col("slot"), step // 2
+    return rows.select(*keep, "slot")
 
-def cell_counts(values: DataFrame, cells, n_bins: int, legacy: bool, extra=()) -> DataFrame:
-    """(cell, extra..., bin, n): rows per bin. ``cells`` lists (feature position, data set position, edges).
 
-    The cell number is the position in that list. A value may belong to several cells. The list has an entry
-    per feature, data set and pair, so it is broadcast.
-    """
-    rows = [((f, d, k), e) for k, (f, d, e) in enumerate(cells)]
-    edges = edge_table(values.sparkSession, ["feature", "dataset", "cell"], rows, n_bins)
-    inside = F.when(F.col("bin") < F.col("n_edges") - 1, F.col("bin"))
-    return (
-        values.join(F.broadcast(edges), ["feature", "dataset"])
-        .select("cell", *extra, "n_edges", bin_index(n_bins, legacy).alias("bin"))
-        .select("cell", *extra, inside.alias("bin"))
-        .groupBy("cell", *extra, "bin").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("bin") >= 0)
-    )
-
-
-def bin_grid(spark, keyed, names, n_bins: int) -> DataFrame:
+def bin_grid(spark, keyed, names) -> DataFrame:
     """(cell, names..., bin, lower, upper): every bin of every cell, from (name values, edges) pairs."""
     rows = [(c, *key, i, float(e[i]), float(e[i + 1])) for c, (key, e) in enumerate(keyed) for i in range(len(e) - 1)]
     text = ", ".join(f"{n} string" for n in names)
@@ -182,8 +199,8 @@ def bin_table(df: DataFrame, features, bin_type: str = "fixed", n_bins: int = 10
     datasets = sorted({d for d, _ in found})
     coded = long_features(_coded(df, datasets), features, keep=("dataset", *extra))
     keys = sorted(found)
-    counts = cell_counts(coded, [(f, datasets.index(d), found[d, f]) for d, f in keys], n_bins, legacy, extra)
-    grid = bin_grid(df.sparkSession, [((d, features[f]), found[d, f]) for d, f in keys], ["dataset", "feature"], n_bins)
+    counts = cell_counts(coded, [(f, datasets.index(d), found[d, f]) for d, f in keys], legacy, extra)
+    grid = bin_grid(df.sparkSession, [((d, features[f]), found[d, f]) for d, f in keys], ["dataset", "feature"])
     return grid, counts
 
 
@@ -217,7 +234,7 @@ def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins:
                 cells.append((f, d, e))
     names = spark.createDataFrame(
         listed, "cell int, dataset1 string, dataset2 string, feature string, side int, bins int")
-    counts = cell_counts(values, cells, n_bins, legacy)
+    counts = cell_counts(values, cells, legacy)
     pair = ["dataset1", "dataset2", "feature"]
 
     def of(side):
