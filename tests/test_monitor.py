@@ -67,6 +67,13 @@ def test_iv_is_infinite_for_a_one_sided_bin(spark):
     assert r["iv"] == float("inf") and 0 < r["adj_iv"] < 10
 
 
+def test_constant_feature_is_listed_with_zero(spark):
+    rows = [("a", float(i), 1.0, int(i >= 5)) for i in range(10)]
+    df = spark.createDataFrame(rows, "dataset string, u double, k double, y int")
+    got = {r["feature"]: r["iv"] for r in MO.iv(MO.woe(df, ["u", "k"], "y"), ["u", "k"]).collect()}
+    assert got["k"] == 0.0 and got["u"] == float("inf")
+
+
 def test_vif_against_least_squares(frame, spark):
     pdf, _ = frame
     part = pdf[pdf.dataset == "a"].copy()

@@ -99,6 +99,13 @@ def test_hot_customers_give_the_same_profiles(tables, hot_rows):
     assert same_rows(PR.profile_recipients(tx, cal, hot_rows), tables.recipients())
 
 
+def test_nested_recipients_refuse_long_lists(tables):
+    nested = PR.nest_recipients(tables.recipients())
+    assert nested.agg(F.sum(F.size("recipients"))).first()[0] == tables.recipients().count()
+    with pytest.raises(ValueError, match="max_recipients"):
+        PR.nest_recipients(tables.recipients(), 2)
+
+
 def test_separate_feature_tables_combine_to_the_single_pass(tables):
     tx = tables.transactions()
     parts = FT.combine(FT.features_txn(tx),

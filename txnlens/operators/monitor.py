@@ -292,11 +292,19 @@ def woe(df: DataFrame, features, label: str, bin_type: str = "quantiles", n_bins
                     log_ratio(p1, p0).alias("woe"), adjusted.alias("adj_woe"))
 
 
-def iv(woe_table: DataFrame) -> DataFrame:
-    """Information value per data set and feature; infinite where a bin is one-sided."""
+def iv(woe_table: DataFrame, features=None) -> DataFrame:
+    """Information value per data set and feature; infinite where a bin is one-sided.
+
+    A feature with one value only has no bins; with ``features`` given it is listed with zero.
+    """
     diff = F.col("pct_1") - F.col("pct_0")
-    return woe_table.groupBy("dataset", "feature").agg(
+    out = woe_table.groupBy("dataset", "feature").agg(
         F.sum(F.col("woe") * diff).alias("iv"), F.sum(F.col("adj_woe") * diff).alias("adj_iv"))
+    if features is None:
+        return out
+    every = woe_table.select("dataset").distinct().select(
+        "dataset", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
+    return every.join(out, ["dataset", "feature"], "left").fillna(0.0, ["iv", "adj_iv"])
 
 
 def cross_products(df: DataFrame, columns) -> DataFrame:

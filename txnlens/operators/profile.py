@@ -127,11 +127,16 @@ def profile_recipients(tx, calendar, hot_rows: int = R.HOT_ROWS, parts=None) ->
     return _grouped(parts or per_customer(tx, hot_rows), calendar, aggs, ("profileDate", "customerId", "recipient"))
 
 
-def nest_recipients(flat: DataFrame) -> DataFrame:
+def nest_recipients(flat: DataFrame, max_recipients: int = 1_000_000) -> DataFrame:
     """One row per customer and snapshot with the recipients as an array, ordered by recipient.
 
-    The array is as long as the customer's recipient list; features read the flat table instead.
+    The array is as long as the customer's recipient list, so a longer list than ``max_recipients`` is
+    refused, not cut; features read the flat table, which has no such limit.
     """
+    found = R.hot_keys(flat, ["profileDate", "customerId"], max_recipients)
+    if found is not None:
+        raise ValueError(f"a customer has {found[1]} recipients, more than max_recipients={max_recipients};"
+                         " use the flat table")
     entry = F.struct("recipient", "txnCnt", "minTimestamp")
     return flat.groupBy("profileDate", "customerId").agg(F.sort_array(F.collect_list(entry)).alias("recipients"))
 

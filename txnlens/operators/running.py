@@ -13,6 +13,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlens.sources.writers import materialize
+
 HOT_ROWS = 2_000_000      # rows of one key that a single task may sort
 MAX_HOT_KEYS = 20_000     # no more keys than this can exceed total / MAX_HOT_KEYS rows
 BLOCK = "__block"
@@ -98,7 +100,8 @@ def split(df: DataFrame, keys, position: Column, hot_rows: int = HOT_ROWS, count
         .withColumn(BLOCK, block)
         .drop("__pos", "__fine", "__coarse")
     )
-    return Split(frame, tuple(keys), True)
+    # block totals and windows each read the rows: store them once instead of recomputing what is above
+    return Split(materialize(frame, "blocks"), tuple(keys), True)
 
 
 def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = False,

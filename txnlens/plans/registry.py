@@ -466,8 +466,8 @@ for _suffix, _legacy in (("", False), ("_legacy", True)):
 @register("iv_features")
 def iv_features(t):
     """Information value of all 106 features per out-of-time set."""
-    return MO.iv(MO.woe(t.feature_sets(), schemas.FEATURES, "fraudLabel", legacy=True)).orderBy(
-        F.desc("adj_iv"), "feature", "dataset")
+    woe = MO.woe(t.feature_sets(), schemas.FEATURES, "fraudLabel", legacy=True)
+    return MO.iv(woe, schemas.FEATURES).orderBy(F.desc("adj_iv"), "feature", "dataset")
 
 
 _MATRIX_COLS = [*O.LINE_FEATURES, "o_totalprice"]
