@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from txnlens.operators import evaluate as EV
 from txnlens.operators import model as ML
 from txnlens.operators import running as R
-from txnlens.operators.monitor import in_order
 from txnlens.sources.writers import broadcast_if_small, materialize, scratch_root
 
 # Importance metrics and the evaluation columns they are read from (sign: higher is better).
@@ -194,7 +193,3 @@ def shapley_summary(values: DataFrame) -> DataFrame:
     return values.groupBy("dataset", "feature").agg(
         F.avg(F.abs("phi")).alias("mean_abs"), F.max(F.abs("phi")).alias("max_abs")).orderBy(
         "dataset", F.desc("mean_abs"), "feature")
-
-
-__all__ = ["hash_sample", "in_order", "partial_dependence", "permutation_importance", "shapley_summary",
-           "shapley_values", "tree_importance"]
