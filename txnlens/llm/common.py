@@ -83,3 +83,55 @@ def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
     behind = np.maximum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()
     top = np.maximum(behind[:n], ahead[w - 1:w - 1 + n])
     return np.flatnonzero(top == h)
+
+
+# Hashing of words straight from UTF-8 bytes. Fixed seed: hashes are compared across tasks.
+_rng = np.random.default_rng(20240117)
+_BYTE_VALUE = _rng.integers(1, 1 << 62, 256, dtype=np.uint64) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_powers = {"n": 0}
+
+
+def _power_tables(n: int):
+    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them; they grow with the longest text."""
+    if _powers["n"] < n:
+        size = max(n, 1 << 16)
+        with np.errstate(over="ignore"):
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                table = np.full(size, base, np.uint64)
+                table[0] = 1
+                _powers[name] = np.multiply.accumulate(table)
+        _powers["n"] = size
+    return _powers["up"], _powers["down"]
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of ``values[start:end]`` for each range: equal ranges hash alike wherever they stand."""
+    up, down = _power_tables(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts], (ends - starts).astype(np.uint64))
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words of UTF-8 bytes: maximal runs without the six ASCII white-space characters."""
+    raw = np.frombuffer(data, np.uint8)
+    edge = np.diff(np.r_[True, _SPACE[raw], True].view(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return starts, ends, range_hashes(_BYTE_VALUE[raw], starts, ends)
+
+
+def to_bytes(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
+
+
+def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs covered by spans; touching spans are joined."""
+    if not len(starts):
+        return starts, ends
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.r_[True, starts[1:] > reach[:-1]]
+    return starts[first], reach[np.r_[first[1:], True]]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import bpe, packing, simhash
+from txnlens.llm import bpe, cotraining, packing, rules, simhash
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -26,12 +26,27 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op3_quality_classifier")
+def op3_quality_classifier(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = cotraining.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = cotraining.classify(docs, model)
+    return scored.select("doc_id", "quality_.*", F.col("kept_").alias("kept"))
+
+
 @register("op4_best_fit_packing")
 def op4_best_fit_packing(spark, sf_dir):
     packed = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return packed.drop("ids")
 
 
+@register("op7_quality_rules")
+def op7_quality_rules(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = rules.fit_field(docs, read_table(spark, sf_dir, "labels"))
+    return rules.judge(docs, field).select("doc_id", "rules_.*")
+
+
 @register("op8_byte_bpe")
 def op8_byte_bpe(spark, sf_dir):
     shared = bpe.tables(spark, tokenizer_file("byte_bpe_multi_50k.tiktoken"))
