@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import bpe, cotraining, packing, rules, simhash
+from txnlens.llm import automaton, bpe, cotraining, packing, rules, simhash
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -40,6 +40,26 @@ def op4_best_fit_packing(spark, sf_dir):
     return packed.drop("ids")
 
 
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+_OP6_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS f FROM win) WHERE f < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hit, (SELECT unnest(range(50)) AS k)),
+lost AS (SELECT doc_id, list(i) AS l, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  CASE WHEN n IS NULL THEN sha256(array_to_string(w, ' '))
+       ELSE sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(l, i)), ' '), '')) END AS kept_sha256
+FROM d LEFT JOIN lost ON d.doc_id = lost.doc_id"""
+
+
+@register("op6_substring_dedup", _OP6_SQL)
+def op6_substring_dedup(spark, sf_dir):
+    left = automaton.dedup(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op7_quality_rules")
 def op7_quality_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
