@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, cotraining, packing, rules, simhash
+from txnlens.llm import automaton, bpe, cotraining, packing, repeats, rules, simhash
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -26,6 +26,29 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+_OP2_SQL = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x, row_number() OVER () AS r FROM documents),
+win AS (SELECT r, i, md5(substr(x, 2 * i + 1, 800)) AS h
+        FROM (SELECT r, x, unnest(range(0, CAST(length(x) // 2 - 399 AS BIGINT))) AS i FROM d WHERE length(x) >= 800)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM win) WHERE n > 1),
+edge AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS e FROM hit),
+runs AS (SELECT r, min(i) AS a, max(i) + 400 AS b
+         FROM (SELECT r, i, sum(e) OVER (PARTITION BY r ORDER BY i) AS g FROM edge) GROUP BY r, g),
+lost AS (SELECT r, list(struct_pack(a := a, b := b) ORDER BY a) AS l, sum(b - a) AS n FROM runs GROUP BY r)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(len(l), 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN x ELSE array_to_string(list_transform(range(0, len(l) + 1), lambda k:
+    substr(x, CASE WHEN k = 0 THEN 1 ELSE 2 * l[k].b + 1 END, CASE WHEN k = len(l) THEN length(x)
+    WHEN k = 0 THEN 2 * l[1].a ELSE 2 * (l[k + 1].a - l[k].b) END)), '') END)) AS kept_sha256
+FROM d LEFT JOIN lost ON d.r = lost.r"""
+
+
+@register("op2_suffix_dedup", _OP2_SQL)
+def op2_suffix_dedup(spark, sf_dir):
+    left = repeats.dedup(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op3_quality_classifier")
 def op3_quality_classifier(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
