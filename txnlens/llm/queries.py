@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, cotraining, packing, repeats, rules, simhash
+from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, topk
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -26,6 +26,13 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_html_extraction")
+def op1_html_extraction(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extract(pages)
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 _OP2_SQL = """
 WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x, row_number() OVER () AS r FROM documents),
 win AS (SELECT r, i, md5(substr(x, 2 * i + 1, 800)) AS h
@@ -77,6 +84,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGIN
 FROM d LEFT JOIN lost ON d.doc_id = lost.doc_id"""
 
 
+_OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
+
+
+@register("op5_exact_top_k", _OP5_SQL)
+def op5_exact_top_k(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
+
+
 @register("op6_substring_dedup", _OP6_SQL)
 def op6_substring_dedup(spark, sf_dir):
     left = automaton.dedup(read_table(spark, sf_dir, "documents"))
