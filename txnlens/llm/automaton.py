@@ -226,34 +226,30 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id_col, n_words, n_removed, kept): the words left of every row, joined by one space.
+    """The rows of ``docs`` with a struct column ``dedup_``: n_words, n_removed, kept (the words left, joined by one space).
 
     Keys must be orderable. A null text has no words; rows with a null key are kept whole and remove nothing; rows with equal
-    keys remove nothing from each other, as neither key is smaller. An empty table gives no rows. Other columns are ignored.
+    keys remove nothing from each other, as neither key is smaller. An empty table gives no rows. All columns pass through.
     """
     small_batches(docs.sparkSession)
-    given = docs.select(F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("row_"), F.col(text_col).alias("text_"))
-    spans = removed_spans(given, window, gram)
+    given = docs.select(F.col(f"`{id_col}`").alias("id_"), F.xxhash64(F.col(f"`{text_col}`")).alias("row_"),
+                        F.col(f"`{text_col}`").alias("text_"), F.struct("*").alias("all_"))
+    spans = removed_spans(given.select("id_", "row_", "text_"), window, gram)
     spans = spans.withColumnsRenamed({"id_": "i_", "row_": "r_"})
-    joined = given.join(spans, (F.col("id_") == F.col("i_")) & (F.col("row_") == F.col("r_")), "left").select("id_", "text_", "spans")
-
-    def run(batches):
-        for batch in batches:
-            counts, removed, kept = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                data = to_bytes(text)
-                starts, ends, _ = word_spans(data)
-                keep = np.ones(len(starts), bool)
-                if batch.column(2)[i].is_valid:
-                    at = batch.column(2).slice(i, 1).flatten()
-                    for a, b in zip(*merge_spans(at.field("from").to_numpy(), at.field("to").to_numpy()), strict=True):
-                        keep[a:b] = False
-                words = [data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]
-                counts.append(len(keep))
-                removed.append(int((~keep).sum()))
-                kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(kept, pa.string())], ["id_", "n_words", "n_removed", "kept"])
-
-    kind = given.schema["id_"].dataType.simpleString()
-    return joined.mapInArrow(run, f"id_ {kind}, n_words long, n_removed long, kept string").withColumnRenamed("id_", id_col)
+    joined = given.join(spans, (F.col("id_") == F.col("i_")) & (F.col("row_") == F.col("r_")), "left")
+
+    @F.pandas_udf("n_words long, n_removed long, kept string")
+    def cut(texts: pd.Series, begins: pd.Series, stops: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, begin, stop in zip(texts, begins, stops, strict=True):
+            data = to_bytes(text)
+            starts, ends, _ = word_spans(data)
+            keep = np.ones(len(starts), bool)
+            if begin is not None:
+                for a, b in zip(*merge_spans(np.asarray(begin), np.asarray(stop)), strict=True):
+                    keep[a:b] = False
+            words = [data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]
+            rows.append((len(keep), int((~keep).sum()), b" ".join(words).decode("utf-8", "surrogatepass")))
+        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+
+    return joined.select("all_", cut("text_", "spans.from", "spans.to").alias("dedup_")).select("all_.*", "dedup_")

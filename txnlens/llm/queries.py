@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, topk
+from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -101,8 +101,8 @@ def op5_exact_top_k(spark, sf_dir):
 
 @register("op6_substring_dedup", _OP6_SQL)
 def op6_substring_dedup(spark, sf_dir):
-    left = automaton.dedup(read_table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    left = automaton.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "dedup_.n_words", "dedup_.n_removed", F.sha2("dedup_.kept", 256).alias("kept_sha256"))
 
 
 @register("op7_quality_rules")
@@ -121,6 +121,31 @@ def op8_byte_bpe(spark, sf_dir):
         F.sha2(bpe.decode(shared)("ids"), 256).alias("decoded_sha256"))
 
 
+_OP9_SQL = """
+WITH calls AS (SELECT conv_id, turn, 't' || turn AS call_id, text, count(*) OVER (PARTITION BY conv_id, turn) AS n_calls
+               FROM conversations WHERE role = 'user'),
+results AS (SELECT conv_id, 't' || (turn - 1) AS call_id, min(text) AS content, count(*) AS n_results
+            FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+known AS (SELECT DISTINCT conv_id, turn FROM calls)
+SELECT c.conv_id, c.call_id, CAST(c.turn AS BIGINT) AS position, CAST(0 AS BIGINT) AS wave, false AS cyclic,
+  CAST(n_calls AS BIGINT) AS n_calls, CAST(coalesce(n_results, 0) AS BIGINT) AS n_results,
+  CAST(CASE WHEN c.turn >= 2 AND k.turn IS NULL THEN 1 ELSE 0 END AS BIGINT) AS missing_deps,
+  coalesce(length(c.text) BETWEEN 1 AND 2000 AND c.turn >= 0, false) AS valid,
+  sha256('{"arguments":{' || CASE WHEN c.text IS NULL THEN '' ELSE '"text":' || CAST(to_json(c.text) AS VARCHAR) || ',' END
+    || '"turn":' || c.turn || '},"id":"' || c.call_id || '","name":"ask","result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null')
+    || '}') AS message_sha256
+FROM calls c LEFT JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+LEFT JOIN known k ON c.conv_id = k.conv_id AND k.turn = c.turn - 2"""
+
+
+@register("op9_tool_call_linking", _OP9_SQL)
+def op9_tool_call_linking(spark, sf_dir):
+    calls, results = toolcalls.conversation_calls(read_table(spark, sf_dir, "conversations"))
+    linked = toolcalls.link(calls, results, {"ask": toolcalls.ASK})
+    return linked.select("conv_id", "call_id", "position", "wave", "cyclic", "n_calls", "n_results", "missing_deps", "valid",
+                         F.sha2("message", 256).alias("message_sha256"))
+
+
 @register("op10_simhash_near_dedup")
 def op10_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))

@@ -44,17 +44,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id_, fp): the fingerprint of every document as a signed long. Null and wordless texts have fingerprint 0."""
+    """(id_, row_, fp): the fingerprint of every document as a signed long, and the hash of its text. Null and wordless texts
+    have fingerprint 0."""
     small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            bits = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
+            bits = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
             values = np.array(bits, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["id_", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], ["id_", "row_", "fp"])
 
-    slim = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    return slim.mapInArrow(run, f"id_ {slim.schema['id_'].dataType.simpleString()}, fp long")
+    slim = docs.select(F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("row_"), F.col(text_col).alias("text_"))
+    return slim.mapInArrow(run, f"id_ {slim.schema['id_'].dataType.simpleString()}, row_ long, fp long")
 
 
 def masks(shared: int) -> list[int]:
@@ -126,7 +127,8 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     bits: int = BITS) -> DataFrame:
-    """(id_col, fp, component_id): the fingerprint of every row and the smallest key among those reachable by links.
+    """(id_col, text_hash, fp, root, component_id): for every row its fingerprint, a fingerprint that names its component, and
+    the smallest key among the documents reachable by links.
 
     Documents of one fingerprint are one node. Null texts count as wordless; a null key never names a component unless
     all keys in it are null; repeated rows stay. An empty table gives no rows. Other columns are ignored.
@@ -137,8 +139,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(grouped.withColumnsRenamed({"a": "fp", "b": "root_"}), "fp", "left")
     rooted = named.select("fp", "first_", F.coalesce("root_", "fp").alias("root_"))
     smallest = rooted.groupBy("root_").agg(F.min("first_").alias("component_id"))
-    labels = rooted.join(smallest, "root_").select("fp", "component_id")
-    return marked.join(labels, "fp").select(F.col("id_").alias(id_col), "fp", "component_id")
+    labels = rooted.join(smallest, "root_").select("fp", "root_", "component_id")
+    return marked.join(labels, "fp").select(F.col("id_").alias(id_col), F.col("row_").alias("text_hash"), "fp",
+                                            F.col("root_").alias("root"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest key stays (a null key only
+    where no other is there), of equal rows one. All columns pass through."""
+    found = near_duplicates(docs, id_col, text_col, **how)
+    row = F.struct(F.col(id_col).isNull().alias("none_"), F.col(id_col).alias("i_"), F.col("text_hash").alias("r_"))
+    stay = found.groupBy("root").agg(F.min(row).alias("row_")).select("row_.i_", "row_.r_")
+    given = docs.select(F.struct("*").alias("all_"), F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("row_"))
+    kept = given.join(stay, F.col("id_").eqNullSafe(F.col("i_")) & (F.col("row_") == F.col("r_")))
+    return kept.dropDuplicates(["id_", "row_"]).select("all_.*")
 
 
 def hexadecimal(fp):
