@@ -148,7 +148,7 @@ def _page_columns(docs: DataFrame):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality",
         max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> Model | None:
-    """Fit on bounded samples, chosen by the smallest hashes of the keys; None if one of the two classes has no example.
+    """Fit on bounded samples, chosen by the smallest hashes of the keys; None if one of the two classes has fewer than two examples.
 
     Labels other than 0 and 1 and null keys are ignored; of contradicting labels the lower counts.
     """
@@ -178,9 +178,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     held = np.array([zlib.crc32(k.encode()) % 4 == 0 for k in labelled["k"]])
     y = labelled["y"].to_numpy(np.int64)
-    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
-        held = np.arange(len(y)) % 2 == 0
-        if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
+    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:  # few examples: every second one of each class
+        held = labelled.groupby("y").cumcount().to_numpy() % 2 == 1
+        if len(set(y[held])) < 2:
             return None
     return co_train(_views(labelled[~held]), y[~held], _views(labelled[held]), y[held], _views(free_rows), rounds)
 
