@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from txnlens.operators import calibrate as CA
 from txnlens.operators import evaluate as EV
@@ -95,12 +96,13 @@ def test_exact_ks_p_value_against_all_arrangements(n0, n1):
             d = max(d, abs(i / n0 - j / n1))
         dists.append(d)
     for d in sorted(set(round(x, 9) for x in dists)):
-        assert abs(EV.ks_p_value(d, n0, n1) - np.mean([x >= d - 1e-7 for x in dists])) < 1e-12
+        assert abs(EV.ks_exact(d, n0, n1) - np.mean([x >= d - 1e-7 for x in dists])) < 1e-12
 
 
-def test_large_sample_ks_p_value_is_the_limit():
-    assert abs(EV.ks_p_value(0.02, 20_000, 20_000) - 0.00067) < 5e-5
-    assert EV.ks_p_value(0.0, 20_000, 20_000) == 1.0
+def test_limiting_ks_p_value_at_every_size(spark):
+    rows = spark.createDataFrame([(0.02, 20_000, 20_000), (0.0, 20_000, 20_000), (0.5, 4, 4), (0.5, 0, 4)], "d double, n0 long, n1 long")
+    got = [r[0] for r in rows.select(EV.ks_limit(F.col("d"), F.col("n0"), F.col("n1"))).collect()]
+    assert abs(got[0] - 0.00067) < 5e-5 and got[1] == 1.0 and abs(got[2] - 0.6994) < 1e-3 and np.isnan(got[3])
 
 
 def pav(points):

@@ -18,6 +18,8 @@ def test_absent_keys_and_bad_records(spark, tmp_path):
     assert good.count() == 2 and good.where("uniqueId = '2'").first()["action"] is None
     with pytest.raises(readers.BadRecordsError):
         readers.read_json(spark, path, schemas.EVENTS, max_bad_records=0)
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):  # no record may be unreadable by default
+        readers.read_json(spark, path, schemas.EVENTS).collect()
     with pytest.raises(ValueError):
         readers.load(spark, path, "AVRO")
 

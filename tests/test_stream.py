@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
@@ -46,6 +47,27 @@ def test_late_events_are_dropped_and_idle_sessions_forgotten(spark, tmp_path):
     assert dropped == 1
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_idle_time_counts_alike_in_every_zone(spark, tmp_path, zone):
+    def ev(uid, session, day, hour, action, amount=None):
+        return (0, uid, "c", session, dt.datetime(2024, 3, day, hour, 30), action, 1.0, 2.0, amount, None, None)
+
+    ON.use_rocksdb(spark)
+    # 17 idle hours across the change to summer time, while another session moves the watermark
+    batches = [[ev("1", "s", 9, 12, "login")], [ev("2", "t", 10, 5, "login")], [ev("3", "t", 10, 5, "action_1")],
+               [ev("4", "s", 10, 5, "action_2"), ev("5", "s", 10, 6, "transaction", 9.0)]]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for rows in batches:
+            spark.createDataFrame(rows, schemas.EVENTS).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        stream = ON.with_event_time(ON.replay(spark, f"{tmp_path}/in", 1), "1 hour")
+        run(spark, ON.online_transactions(stream), tmp_path)
+        got = [r["actionCount"] for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [3]
+
+
 def test_score_events_round_trip(tables, tmp_path):
     from txnlens.operators import parity as PV
 

@@ -237,21 +237,25 @@ def threshold_table(scored: DataFrame, increment: float = 0.01, aux=(), by=BY) -
     )
 
 
-def ks_p_value(d: float, n0: int, n1: int, exact_rows: int = 10_000) -> float:
-    """Two-sided p-value of the two-sample KS statistic.
-
-    Up to ``exact_rows`` per sample it is exact: classes are drawn without replacement, and the probability
-    that the two empirical distributions ever lie ``d`` apart is accumulated draw by draw, one diagonal of
-    the (drawn from 0, drawn from 1) lattice at a time. Beyond that it is the limiting series.
+def ks_limit(d, n0, n1):
+    """Column: the limiting two-sided p-value of the two-sample KS statistic, NaN where a class has no rows."""
+    n0, n1 = n0.cast("double"), n1.cast("double")
+    lam = d * F.sqrt(F.try_divide(n0 * n1, n0 + n1))
+    terms = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(
+        -2.0 * k * k * lam * lam))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    p = F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * total)))
+    return F.when((n0 > 0) & (n1 > 0), p).otherwise(float("nan"))
+
+
+def ks_exact(d: float, n0: int, n1: int) -> float:
+    """The exact two-sided p-value of the two-sample KS statistic; its work grows with n0 * n1.
+
+    Classes are drawn without replacement, and the probability that the two empirical distributions ever lie
+    ``d`` apart is accumulated draw by draw, one diagonal of the (drawn from 0, drawn from 1) lattice at a time.
     """
     if not n0 or not n1:
         return float("nan")
-    if max(n0, n1) > exact_rows:
-        lam = d * math.sqrt(n0 * n1 / (n0 + n1))
-        if lam < 0.2:
-            return 1.0
-        total = sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
-        return min(1.0, max(0.0, 2 * total))
     # distances are multiples of 1 / lcm, so compare in whole units
     unit = math.lcm(n0, n1)
     bound = round(d * unit)
@@ -277,12 +281,17 @@ def ks_p_value(d: float, n0: int, n1: int, exact_rows: int = 10_000) -> float:
     return min(1.0, crossed)
 
 
-def ks_statistic(scored, by=BY, hot_rows: int = R.HOT_ROWS) -> DataFrame:
-    """KS statistic between the scores of the two classes, with its p-value."""
-    def p_values(d: pd.Series, n0: pd.Series, n1: pd.Series) -> pd.Series:
-        return pd.Series([ks_p_value(*row) for row in zip(d, n0, n1)], dtype=float)
+def ks_statistic(scored, by=BY, hot_rows: int = R.HOT_ROWS, method: str = "limit") -> DataFrame:
+    """KS statistic between the scores of the two classes, with its p-value.
+
+    ``method``: "limit" (the limiting series) or "exact", whatever the number of rows.
+    """
+    def exact(d: pd.Series, n0: pd.Series, n1: pd.Series) -> pd.Series:
+        return pd.Series([ks_exact(*row) for row in zip(d, n0, n1)], dtype=float)
 
-    p_value = F.pandas_udf(p_values, "double")  # one row per data set
+    if method not in ("limit", "exact"):
+        raise ValueError(f"method must be limit or exact, not {method!r}")
+    p_value = ks_limit if method == "limit" else F.pandas_udf(exact, "double")  # one row per data set
     m = curve_metrics(scored, by, hot_rows)
     return m.select(*by, "ks", F.col("negatives").alias("n0"), F.col("positives").alias("n1")).withColumn(
-        "p_value", p_value("ks", "n0", "n1"))
+        "p_value", p_value(F.col("ks"), F.col("n0"), F.col("n1")))

@@ -373,11 +373,9 @@ def correlations(products: DataFrame, columns) -> DataFrame:
     return upper.unionByName(lower)
 
 
-def corr_long(df: DataFrame, columns, max_features: int = 100):
-    """Correlations in long form, strongest first; None when there are more than ``max_features`` columns."""
+def corr_long(df: DataFrame, columns) -> DataFrame:
+    """Correlations in long form, strongest first."""
     columns = list(columns)
-    if len(columns) > max_features:
-        return None
     out = correlations(cross_products(df, columns), columns)
     return out.orderBy("dataset", F.desc(F.abs("correlation")), "feature_1", "feature_2")
 

@@ -72,7 +72,7 @@ def feature_names(online: DataFrame) -> list:
     return row[0].split(SEPARATOR) if row else []
 
 
-def score_diff_quantiles(joined: DataFrame, parts: int = 100, accuracy: int = 10_000) -> DataFrame:
+def score_diff_quantiles(joined: DataFrame, parts: int = 100, accuracy: int = 1_000_000) -> DataFrame:
     """``parts`` + 1 quantiles of the absolute score difference, by one mergeable sketch."""
     shares = [i / parts for i in range(parts + 1)]
     q = joined.agg(F.percentile_approx(F.abs(F.col("score") - F.col("score_df")), shares, accuracy).alias("q"))

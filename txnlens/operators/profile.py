@@ -12,7 +12,7 @@ from txnlens import schemas
 from txnlens.functions.scalars import seconds_between
 from txnlens.operators import running as R
 
-QUANTILE_ACCURACY = 10_000
+QUANTILE_ACCURACY = 1_000_000  # a percentile is exact for groups below this size
 MAX_BROADCAST_DAYS = 500_000  # calendar rows; monthly snapshots with a year of look-back need 365 each
 
 

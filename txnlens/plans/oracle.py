@@ -71,7 +71,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS customerId, 18 + c_custkey % 52 AS age,
   CASE c_custkey % 3 WHEN 0 THEN 'single' WHEN 1 THEN 'married' ELSE 'divorced' END AS maritalStatus,
   CAST(-130 AS DOUBLE) + CAST(0.55 AS DOUBLE) * ((13 * c_custkey) % 100) AS homeLongitude,
   CAST(30 AS DOUBLE) + CAST(0.22 AS DOUBLE) * ((29 * c_custkey) % 100) AS homeLatitude
-FROM customer WHERE c_acctbal >= 0"""
+FROM customer"""
 _CTES["snaps_"] = "SELECT unnest([" + ", ".join(_date(d) for d in T.SNAPSHOTS) + "]) AS profileDate"
 _CTES["covered_"] = f"""
 SELECT s.profileDate, t.* FROM tx_ t JOIN snaps_ s

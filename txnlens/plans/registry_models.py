@@ -94,7 +94,7 @@ def tree_importance(t):
 
 @register("permutation_importance")
 def permutation_importance(t):
-    return EX.permutation_importance(T.model(t), t.feature_sets(), T.MODEL_FEATURES, "fraudLabel", repeats=2,
+    return EX.permutation_importance(T.model(t), t.feature_sets(), T.MODEL_FEATURES, "fraudLabel", repeats=5,
                                      metrics=("roc_auc", "average_precision", "neg_log_loss"), seed=33)
 
 
@@ -105,8 +105,7 @@ def partial_dependence(t):
 
 @register("shapley_summary")
 def shapley_summary(t):
-    sample = EX.hash_sample(t.feature_sets(), 50_000, seed=33)
-    return EX.shapley_summary(EX.shapley_values(T.model(t), sample, T.MODEL_FEATURES, permutations=2))
+    return EX.shapley_summary(EX.shapley_values(T.model(t), t.feature_sets(), T.MODEL_FEATURES, permutations=2))
 
 
 @register("hash_sample", O.query("SELECT uniqueId, dataset FROM scored_ ORDER BY md5('33|' || uniqueId) LIMIT 100"))

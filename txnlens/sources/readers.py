@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnlens.sources.writers import materialize
+
 CORRUPT = "_corrupt_record"
 
 
@@ -16,13 +18,16 @@ class BadRecordsError(ValueError):
 def read_json(spark: SparkSession, path, schema: T.StructType | None = None, max_bad_records: int | None = None):
     """Newline-delimited JSON; keys absent from a record become NULL.
 
-    ``max_bad_records``: how many unreadable lines may be skipped (counted first, in one pass that also
-    names the budget in the error). None leaves unreadable lines in as all-NULL rows.
+    By default an unreadable record fails the read when it is reached. ``max_bad_records``: how many unreadable
+    lines may be left out; lines are parsed once into a stored table, and BadRecordsError is raised above the
+    budget. A budget needs a schema.
     """
-    if max_bad_records is None or schema is None:
+    if max_bad_records is None:
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.json(path)
-    flagged = read_json_flagged(spark, path, schema)
+        return reader.option("mode", "FAILFAST").json(path)
+    if schema is None:
+        raise ValueError("max_bad_records needs a schema")
+    flagged = materialize(read_json_flagged(spark, path, schema), "json-lines")
     bad = flagged.where(F.col(CORRUPT).isNotNull()).count()
     if bad > max_bad_records:
         raise BadRecordsError(f"{bad} unreadable records, {max_bad_records} allowed")

@@ -24,6 +24,7 @@ from txnlens.operators.sessions import RUNNING
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT_TIME = "eventTime"
+_MILLIS = "eventMillis"
 _DATED = {"sessionStart": T.TimestampNTZType(), "previousTransactionDate": T.DateType(),
           "amountSum": T.DoubleType(), "amountMin": T.DoubleType(), "amountMax": T.DoubleType()}
 
@@ -100,11 +101,12 @@ class SessionProcessor(StatefulProcessor):
         out = []
         for e in batch.to_dict("records"):
             micros = int(pd.Timestamp(e["timestamp"]).value // 1000)
+            millis = int(e[_MILLIS])
             if s is None:  # first event of the session: its location, missing or not, is the login location
                 s = {n: 0 for n in _COUNTERS}
                 s.update(longitude=_value(e["longitude"]), latitude=_value(e["latitude"]), amountSum=None,
-                         amountMin=None, amountMax=None, sessionStart=micros, lastTransaction=None, latest=micros)
-            s["latest"] = max(s["latest"], micros)
+                         amountMin=None, amountMax=None, sessionStart=micros, lastTransaction=None, latest=millis)
+            s["latest"] = max(s["latest"], millis)
             s["actionCount"] += 1
             action = e["action"]
             if action in schemas.ACTIONS:
@@ -113,7 +115,7 @@ class SessionProcessor(StatefulProcessor):
                 continue
             out.append(self._transaction(s, e, micros))
         self.totals.update(tuple(s[n] for n in names))
-        self.handle.registerTimer(s["latest"] // 1000 + self.idle_millis)
+        self.handle.registerTimer(s["latest"] + self.idle_millis)
         yield pd.DataFrame(out, columns=[f.name for f in OUTPUT])
 
     def _transaction(self, s, e, micros):
@@ -149,7 +151,7 @@ class SessionProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """Forget the session, unless events came after this timer was set (they set a later one)."""
         held = self.totals.get()
-        if held is not None and dict(zip([f.name for f in _STATE], held))["latest"] // 1000 + self.idle_millis <= (
+        if held is not None and dict(zip([f.name for f in _STATE], held))["latest"] + self.idle_millis <= (
                 expiredTimerInfo.getExpiryTimeInMs()):
             self.totals.clear()
             self.recipients.clear()
@@ -173,7 +175,9 @@ def online_transactions(stream: DataFrame, idle_hours: int | None = None) -> Dat
     processor = SessionProcessor()
     if idle_hours is not None:
         processor.idle_millis = idle_hours * 3600 * 1000
-    return stream.groupBy("sessionId").transformWithStateInPandas(
+    # pandas sees zoned times as local ones; watermark and timers count from the epoch
+    timed = stream.withColumn(_MILLIS, F.unix_millis(EVENT_TIME))
+    return timed.groupBy("sessionId").transformWithStateInPandas(
         processor, outputStructType=OUTPUT, outputMode="append", timeMode="eventTime")
 
 
