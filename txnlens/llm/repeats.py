@@ -22,7 +22,7 @@ from txnlens.llm.common import _BYTE_VALUE, merge_spans, small_batches, stored,
 WINDOW = 400
 GRAM = 32
 SHARD_BYTES = 3_000_000  # a shard closes at the next anchor after so many bytes
-SHARD_CONTEXTS = 2048  # contexts of one anchor beyond which their strings are grouped by hash
+SHARD_CONTEXTS = 8192  # contexts of one anchor (about 600 bytes each) beyond which their strings are grouped by hash
 
 _FIELDS = "anchor long, context long, start int, size int"
 
@@ -164,12 +164,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     spots = occurrences(docs, window, gram)
     unlike = stored(spots.groupBy("anchor", "context").agg(
         F.min(F.struct("id_", "row_", "start", "size")).alias("at_"), F.count("*").alias("n_")), "unlike-byte-contexts")
-    shared = unlike.groupBy("anchor").agg(F.sum("n_").alias("all_"), F.count("*").alias("kinds_")).where("all_ > 1")
-    places = unlike.join(shared, "anchor").select("anchor", "context", "at_.*", "n_",
+    shared = unlike.groupBy("anchor").agg(F.sum("n_").alias("all_"), F.min("n_").alias("least_"),
+                                          F.count("*").alias("kinds_")).where("all_ > 1")
+    places = unlike.join(shared, "anchor").select("anchor", "context", "at_.*", "n_", "least_",
                                                   (F.col("kinds_") > shard_contexts).alias("crowded"))
-    reference = contexts(docs, places)
+    # where every context of an anchor occurs twice or more, all its strings repeat: there is nothing to compare
+    whole = F.array(F.struct(F.lit(0).alias("from"), F.col("size").alias("to")))
+    copies = places.where(f"least_ > 1 AND size >= {window}").select("anchor", "context", whole.alias("runs"))
+    reference = contexts(docs, places.where("least_ = 1").drop("least_"))
     runs = repeated_runs(reference.where("NOT crowded"), window, shard_bytes, memory, base).unionByName(
-        crowded_runs(reference.where("crowded"), window))
+        crowded_runs(reference.where("crowded"), window)).unionByName(copies)
     found = spots.join(stored(runs.where("size(runs) > 0"), "repeated-runs"), ["anchor", "context"]).select(
         "id_", "row_", F.expr("transform(runs, r -> struct(start + r.from AS from, start + r.to AS to))").alias("spans_")).distinct()
     return found.groupBy("id_", "row_").agg(F.flatten(F.collect_list("spans_")).alias("spans"))
