@@ -33,6 +33,17 @@ def test_bpe_equals_library_and_round_trips(spark, shared):
     assert bpe.encode(frame(spark, []), shared).isEmpty()
 
 
+def test_plain_engine_splits_alike():
+    import regex
+
+    rng, general = random.Random(5), regex.compile(public_tokenizers.PATTERN)
+    signs = [chr(c) for c in range(0x250)] + list(" " * 60) + list("'sltrevmd\n\t") * 6
+    for _ in range(4000):
+        text = "".join(rng.choices(signs, k=rng.randrange(30)))
+        latin = "".join(c for c in text if bpe._NOT_LATIN.search(c) is None)
+        assert bpe._LATIN.findall(latin) == general.findall(latin)
+
+
 def test_perfect_hash_is_minimal_and_exact():
     keys = [f"key{i}".encode() for i in range(3000)]
     table = bpe.PerfectHash(keys)
