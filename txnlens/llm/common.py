@@ -63,26 +63,21 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
         length *= 2
 
 
-def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
-    """Positions that hold the minimum of some window of ``w`` hashes, ties included (fewer hashes: one window)."""
-    n = len(h)
-    if n == 0:
-        return np.empty(0, np.int64)
-    if n <= w:
-        return np.flatnonzero(h == h.min())
-    pad = -n % w
+def first_argmin(h: np.ndarray, w: int) -> np.ndarray:
+    """For every run of ``w`` consecutive hashes the position of its smallest one, the first where they tie."""
+    n, pad = len(h), -len(h) % w
     x = np.concatenate([h, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, w)
-    ahead = np.minimum.accumulate(x, axis=1).ravel()
-    behind = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].ravel()
-    low = np.minimum(behind[:n - w + 1], ahead[w - 1:n])
-    # no window minimum exceeds a hash in the window, so the largest of those around i equals h[i] only if i is chosen
-    padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-    pad = -len(padded) % w
-    y = np.concatenate([padded, np.zeros(pad, np.uint64)]).reshape(-1, w)
-    ahead = np.maximum.accumulate(y, axis=1).ravel()
-    behind = np.maximum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()
-    top = np.maximum(behind[:n], ahead[w - 1:w - 1 + n])
-    return np.flatnonzero(top == h)
+    column, base = np.arange(w), np.arange(0, n + pad, w)[:, None]
+    low = np.minimum.accumulate(x, axis=1)
+    new = np.ones(x.shape, bool)
+    np.less(x[:, 1:], low[:, :-1], out=new[:, 1:])
+    ahead = (np.maximum.accumulate(np.where(new, column, 0), axis=1) + base).ravel()
+    low = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1]
+    new = np.ones(x.shape, bool)
+    np.less_equal(x[:, :-1], low[:, 1:], out=new[:, :-1])
+    behind = (np.minimum.accumulate(np.where(new, column, w)[:, ::-1], axis=1)[:, ::-1] + base).ravel()
+    behind, ahead = behind[:n - w + 1], ahead[w - 1:n]
+    return np.where(h[behind] <= h[ahead], behind, ahead)
 
 
 # Hashing of words straight from UTF-8 bytes. Fixed seed: hashes are compared across tasks.
