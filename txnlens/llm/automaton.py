@@ -25,6 +25,7 @@ from txnlens.llm.common import merge_spans, small_batches, stored, to_bytes, win
 WINDOW = 50
 GRAM = 16
 SHARD_CONTEXTS = 512  # contexts of one anchor beyond which their windows are grouped by hash
+COMBINE = 1_000_000  # words whose windows a task compares before it sends them to be grouped
 SHARD_WORDS = 20_000  # words after which a shard that is being read closes, at the next anchor
 
 # A row of the tables is known by its key and the hash of its text, so repeated rows share their result.
@@ -185,25 +186,57 @@ def first_keys(reference: DataFrame, window: int, shard_words: int) -> DataFrame
     return dealt.mapInPandas(run, f"anchor long, context long, runs array<struct<from: int, to: int, key: {kind}>>")
 
 
-def crowded_keys(reference: DataFrame, window: int) -> DataFrame:
-    """The same rows for anchors with very many contexts: every window is grouped by its hash, whatever their number."""
+def crowded_keys(reference: DataFrame, window: int, combine: int = COMBINE) -> DataFrame:
+    """The same rows for anchors with very many contexts: every window is grouped by its hash, whatever their number.
 
-    def run(batches):
+    Only windows for which no smaller key is at hand leave a task. Of these the ones whose key is the smallest of all stay with
+    their context; its other windows start in a document smaller than any that has the context, and their key is null.
+    """
+
+    def first_at_hand(batch):
+        """Windows of these contexts, but for those that a context with a smaller key holds as well."""
+        words = [np.frombuffer(x, np.uint64) for x in batch.column(3).to_pylist()]
+        hashes = [window_hashes(x, window) for x in words]
+        h, many = np.concatenate(hashes).view(np.int64), np.array([len(x) for x in hashes])
+        at = np.repeat(np.arange(len(many)), many)
+        i = np.arange(len(h)) - np.repeat(np.cumsum(many) - many, many)
+        rank = pd.Series(batch.column(0).to_pylist()).rank(method="dense").to_numpy(np.int64)
+        lowest = pd.Series(rank[at]).groupby(h).transform("min").to_numpy()
+        keep = rank[at] == lowest
+        take = pa.array(at[keep])
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(take) for c in range(3)), pa.array(h[keep]), pa.array(i[keep].astype(np.int32))],
+            ["id_", "anchor", "context", "h", "i"])
+
+    def strings_of(batches):
+        waiting, size = [], 0
         for batch in batches:
-            for i, data in enumerate(batch.column(3).to_pylist()):
-                h = window_hashes(np.frombuffer(data, np.uint64), window).view(np.int64)
-                take = pa.array(np.full(len(h), i))
-                yield pa.RecordBatch.from_arrays(
-                    [c.take(take) for c in batch.columns[:3]] + [pa.array(h), pa.array(np.arange(len(h), dtype=np.int32))],
-                    ["id_", "anchor", "context", "h", "i"])
+            waiting.append(batch)
+            size += batch.nbytes // 8
+            if size >= combine:
+                yield first_at_hand(pa.concat_batches(waiting))
+                waiting, size = [], 0
+        if sum(len(x) for x in waiting):
+            yield first_at_hand(pa.concat_batches(waiting))
+
+    def run(frames):
+        for frame in frames:
+            runs = []
+            for n, key, own in zip(frame["n"], frame["id_"], frame["own"], strict=True):
+                first = np.zeros(n, bool)
+                first[[] if own is None else np.asarray(own, np.int64)] = True
+                cuts = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1).tolist(), n]
+                runs.append([{"from": x, "to": y - 1, "key": key if first[x] else None} for x, y in zip(cuts, cuts[1:], strict=False)])
+            yield pd.DataFrame({"anchor": frame["anchor"], "context": frame["context"], "runs": runs})
 
     kind = reference.schema["id_"].dataType.simpleString()
     windows = reference.select("id_", "anchor", "context", "words").mapInArrow(
-        run, f"id_ {kind}, anchor long, context long, h long, i int")
-    first = windows.groupBy("h").agg(F.min("id_").alias("key"))
-    runs = windows.join(first, "h").groupBy("anchor", "context").agg(
-        F.collect_list(F.struct(F.col("i").alias("from"), F.col("i").alias("to"), "key")).alias("runs"))
-    return runs.select("anchor", "context", "runs")
+        strings_of, f"id_ {kind}, anchor long, context long, h long, i int")
+    first = windows.groupBy("h").agg(F.min("id_").alias("id_"))
+    own = windows.join(first, ["h", "id_"]).groupBy("anchor", "context").agg(F.collect_list("i").alias("own"))
+    texts = reference.select("id_", "anchor", "context", F.expr(f"int(octet_length(words) / 8) - {window - 1}").alias("n"))
+    return texts.join(own, ["anchor", "context"], "left").mapInPandas(
+        run, f"anchor long, context long, runs array<struct<from: int, to: int, key: {kind}>>")
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS,
@@ -220,7 +253,7 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard
     keys = first_keys(reference.where("NOT crowded"), window, shard_words).unionByName(
         crowded_keys(reference.where("crowded"), window))
     found = spots.join(stored(keys, "first-keys"), ["anchor", "context"]).select(
-        "id_", "row_", F.expr("transform(filter(runs, r -> r.key < id_), "
+        "id_", "row_", F.expr("transform(filter(runs, r -> r.key IS NULL OR r.key < id_), "
                               f"r -> struct(start + r.from AS from, start + r.to + {window} AS to))").alias("spans_"))
     return found.where("size(spans_) > 0").groupBy("id_", "row_").agg(F.flatten(F.collect_list("spans_")).alias("spans"))
 
