@@ -230,7 +230,9 @@ def crowded_keys(reference: DataFrame, window: int, combine: int = COMBINE) -> D
             yield pd.DataFrame({"anchor": frame["anchor"], "context": frame["context"], "runs": runs})
 
     kind = reference.schema["id_"].dataType.simpleString()
-    windows = reference.select("id_", "anchor", "context", "words").mapInArrow(
+    # contexts of one anchor come together, in as many tasks as their number asks for
+    dealt = reference.select("id_", "anchor", "context", "words").repartitionByRange("anchor", "context")
+    windows = dealt.mapInArrow(
         strings_of, f"id_ {kind}, anchor long, context long, h long, i int")
     first = windows.groupBy("h").agg(F.min("id_").alias("id_"))
     own = windows.join(first, ["h", "id_"]).groupBy("anchor", "context").agg(F.collect_list("i").alias("own"))
