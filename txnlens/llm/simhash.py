@@ -147,7 +147,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest key stays (a null key only
     where no other is there), of equal rows one. All columns pass through."""
-    found = near_duplicates(docs, id_col, text_col, **how)
+    return keep_smallest(docs, near_duplicates(docs, id_col, text_col, **how), id_col, text_col)
+
+
+def keep_smallest(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest key of each ``root`` of ``found`` (id_col, text_hash, root)."""
     row = F.struct(F.col(id_col).isNull().alias("none_"), F.col(id_col).alias("i_"), F.col("text_hash").alias("r_"))
     stay = found.groupBy("root").agg(F.min(row).alias("row_")).select("row_.i_", "row_.r_")
     given = docs.select(F.struct("*").alias("all_"), F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("row_"))
