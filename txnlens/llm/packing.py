@@ -10,6 +10,7 @@ length and looked up in the plan; no document is moved for planning.
 from __future__ import annotations
 
 import json
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,12 @@ def vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings of the added tokens of a vocabulary file -> id; the library finds them in a text before anything else."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: all of full length but perhaps the first."""
     first = n % capacity or capacity
@@ -52,25 +59,28 @@ _PIECES = "id_ {}, piece int, start long, length int, ids binary, part_ int, ran
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-           capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+           capacity: int = CAPACITY, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """(id_, piece, start, length, ids, part_, rank_): the token pieces of every document, stored.
 
-    ``ids`` holds little-endian unsigned 32-bit ids. Special-token strings in a text are ordinary text. ``rank_`` numbers
-    the pieces of one length within one task, ``part_`` names the task.
+    ``ids`` holds little-endian unsigned 32-bit ids. Strings of added tokens in a text are ordinary text, or with ``added``
+    their ids, as the tokenizers library has it by default. ``rank_`` numbers the pieces of one length within one task,
+    ``part_`` names the task.
     """
     spark = docs.sparkSession
     small_batches(spark)
     ranks = spark.sparkContext.broadcast(vocabulary(tokenizer_path))  # the vocabulary file: its size is fixed
+    specials = added_tokens(tokenizer_path) if added else {}
 
     def run(batches):
         import tiktoken
 
-        encoder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks.value, special_tokens={})
+        encoder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks.value, special_tokens=specials)
+        encode = partial(encoder.encode, allowed_special="all", disallowed_special=()) if specials else encoder.encode_ordinary
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*encoder.encode_ordinary(text or ""), end_id], dtype="<u4")
+                ids = np.array([*encode(text or ""), end_id], dtype="<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append((key, k, start, length, ids[start:start + length].tobytes(), part, seen[length]))
                     seen[length] += 1
@@ -141,13 +151,13 @@ def slots(planned) -> pd.DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+         capacity: int = CAPACITY, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """(id_col, piece, start, length, ids, ids_crc32, sequence_id, offset): every piece and its place.
 
     A null text counts as empty (one piece that holds the end id alone); null and repeated keys are kept as they are; equal
     documents are packed once each. An empty table gives no rows. Other columns are ignored.
     """
-    cuts = pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id)
+    cuts = pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, added)
     counts = cuts.groupBy("part_", "length").agg(F.count("*").alias("n_"))
     before = F.sum("n_").over(Window.partitionBy("length").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("part_", "length", F.coalesce(before, F.lit(0)).alias("first_"))

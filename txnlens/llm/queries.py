@@ -66,7 +66,7 @@ def op3_quality_classifier(spark, sf_dir):
 
 @register("op4_best_fit_packing")
 def op4_best_fit_packing(spark, sf_dir):
-    packed = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), added=True)
     return packed.drop("ids")
 
 
