@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk
+from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk, triebpe
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -150,3 +150,12 @@ def op9_tool_call_linking(spark, sf_dir):
 def op10_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@register("op12_prefix_trie_bpe")
+def op12_prefix_trie_bpe(spark, sf_dir):
+    shared = triebpe.tables(spark, tokenizer_file("byte_bpe_50k.json"))
+    encoded = triebpe.encode(read_table(spark, sf_dir, "documents"), shared)
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(triebpe.decode(shared)("ids").cast("binary"), 256).alias("decoded_sha256"))
