@@ -18,17 +18,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
-from txnlens.llm.bpe import PATTERN, Encoder, merge
+from txnlens.llm.bpe import _NOT_LATIN, PATTERN, Encoder, merge
 from txnlens.llm.packing import byte_alphabet
 
-NODES = 800_000  # nodes, words and checked neighbours that a worker keeps; it starts anew beyond
-WORDS = 400_000
-CHECKED = 1_000_000
+NODES = 400_000  # nodes, words and checked neighbours that a worker keeps; it starts anew beyond
+WORDS = 200_000
+CHECKED = 400_000
 LONGEST = 64     # bytes of words kept; longer ones take a branch of their own that is dropped
 SLICE = 2_000_000  # characters of text held as pre-tokens at a time
 _NEVER = 1 << 62
 _ONE = (1,)
+_LIBRARY = ByteLevel(add_prefix_space=False)
 
 
 class Vocabulary:
@@ -101,6 +103,12 @@ class TrieEncoder(Encoder):
             regex.escape(s) for s in sorted(vocabulary.added, key=len, reverse=True)) + ")") if vocabulary.added else None
         self.clear()
 
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of a text. Engines know different versions of Unicode, so beyond Latin letters the library's own splits."""
+        if not self.latin or _NOT_LATIN.search(text) is None:
+            return super().split(text)
+        return [text[start:end] for _, (start, end) in _LIBRARY.pre_tokenize_str(text)]
+
     def clear(self) -> None:
         self.child: dict[int, int] = {}
         self.last, self.back = [-1], [-1]  # by node: its last token, and the node before that token
@@ -219,13 +227,18 @@ def _encoder(shared, pattern: str) -> TrieEncoder:
     return _workers["encoder"]
 
 
-def encode(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str = "text", pattern: str = PATTERN) -> DataFrame:
+def to_text(ids: bytes | None, by_id: dict[int, bytes]) -> str | None:
+    return None if ids is None else b"".join(map(by_id.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+def encode(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str = "text", pattern: str = PATTERN,
+           round_trip: bool = False) -> DataFrame:
     """(id_col, ids): little-endian unsigned 32-bit ids of every whole text, as the tokenizers library gives them without
     truncation, padding and template tokens; strings of added tokens in a text get their ids.
 
     Null and empty texts have no ids (empty bytes). Keys are kept as they are, null or repeated, and every row gives one row; an
     empty table gives none. A very long text or word takes time in proportion. Other columns are ignored, whatever their names.
-    ``shared`` comes from :func:`tables`.
+    ``shared`` comes from :func:`tables`. With ``round_trip`` the ids are decoded again in the same task, as ``decoded``.
     """
 
     def run(batches):
@@ -238,13 +251,18 @@ def encode(docs: DataFrame, shared, id_col: str = "doc_id", text_col: str = "tex
                     part.append(texts[stop].as_py())
                     size += len(part[-1] or "")
                     stop += 1
-                yield pa.RecordBatch.from_arrays([keys.slice(at, stop - at), pa.array(encoder.encode(part), pa.binary())],
-                                                 ["id_", "ids"])
+                ids = encoder.encode(part)
+                columns = [keys.slice(at, stop - at), pa.array(ids, pa.binary())]
+                if round_trip:
+                    columns.append(pa.array([to_text(x, encoder.vocabulary.by_id) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
                 at = stop
 
     slim = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
     kind = slim.schema["id_"].dataType.simpleString()
-    return slim.mapInArrow(run, f"id_ {kind}, ids binary").withColumnRenamed("id_", id_col)
+    names = ["id_", "ids", *["decoded"] * round_trip]
+    schema = f"id_ {kind}, ids binary" + ", decoded string" * round_trip
+    return slim.mapInArrow(run, schema).select(F.col("id_").alias(id_col), *names[1:])
 
 
 def decode(shared):
@@ -252,8 +270,6 @@ def decode(shared):
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        by_id = shared.value.by_id
-        return ids.map(lambda x: None if x is None else b"".join(
-            map(by_id.__getitem__, np.frombuffer(x, "<u4").tolist())).decode("utf-8", "replace"))
+        return ids.map(lambda x: to_text(x, shared.value.by_id))
 
     return text
