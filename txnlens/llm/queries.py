@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk, triebpe
+from txnlens.llm import automaton, bpe, collocations, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk, triebpe
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -155,7 +155,37 @@ def op10_simhash_near_dedup(spark, sf_dir):
 @register("op12_prefix_trie_bpe")
 def op12_prefix_trie_bpe(spark, sf_dir):
     shared = triebpe.tables(spark, tokenizer_file("byte_bpe_50k.json"))
-    encoded = triebpe.encode(read_table(spark, sf_dir, "documents"), shared)
+    encoded = triebpe.encode(read_table(spark, sf_dir, "documents"), shared, round_trip=True)
     return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(triebpe.decode(shared)("ids").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+_OP13_SQL = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+             string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(unnest(pieces), '[\x20\x09]+'), lambda w: w <> '') AS w FROM d),
+f AS (SELECT lang, w[i:i + k - 1] AS g, k, count(*) AS n
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 5)) AS k)) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE n >= 30),
+cut AS (SELECT a.lang, a.g, a.n AS a, l.n AS l, r.n AS r,
+          CAST((CAST(2000000 AS HUGEINT) * a.n) // (CAST(l.n AS HUGEINT) + r.n) AS BIGINT) AS score, x
+        FROM (SELECT *, unnest(range(1, k)) AS x FROM c WHERE k > 1) a
+        JOIN c l ON l.lang = a.lang AND l.g = a.g[1:x] JOIN c r ON r.lang = a.lang AND r.g = a.g[x + 1:a.k]),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, x) AS o FROM cut) WHERE o = 1),
+inside AS (SELECT DISTINCT s.lang, s.g FROM
+             (SELECT lang, k, n, g, unnest(range(2, k)) AS m FROM c WHERE k > 2) b,
+             LATERAL (SELECT unnest(range(1, b.k - b.m + 2)) AS i) t JOIN c s ON s.lang = b.lang AND s.g = b.g[i:i + b.m - 1]
+             AND CAST(100 AS HUGEINT) * b.n >= CAST(80 AS HUGEINT) * s.n),
+kept AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, total.n, score
+         FROM best b JOIN total ON total.lang = b.lang
+         WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.g = b.g))
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+                 phrase, a, l, r, n, score FROM kept) WHERE rank <= 2000"""
+
+
+@register("op13_phrase_collocations", _OP13_SQL)
+def op13_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
