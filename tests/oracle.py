@@ -29,7 +29,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_float_dtype(df[c]):
             df[c] = df[c].astype(float) + 0.0
         elif pd.api.types.is_integer_dtype(df[c]):
-            df[c] = df[c].astype("int64")
+            df[c] = df[c].astype("float64" if df[c].isna().any() else "int64")
     return df.sort_values(list(df.columns), na_position="first", ignore_index=True)
 
 
