@@ -26,6 +26,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table written by :func:`stored` that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def words(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txnlens.llm import automaton, bpe, collocations, cotraining, html, packing, repeats, rules, simhash, toolcalls, topk, triebpe
+from txnlens.llm import automaton, bpe, collocations, cotraining, html, packing, prefixtrie, repeats, rules, simhash
+from txnlens.llm import toolcalls, topk, triebpe
 from txnlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -152,6 +153,40 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+  list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], CAST(range(8) AS BIGINT[])),
+    lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+_OP11_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS j
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS first, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (SELECT c.conv_id, first, h, count(t.j) AS m FROM c LEFT JOIN t ON t.conv_id = first AND t.j <= h GROUP BY ALL),
+r AS (SELECT m.conv_id, t.j AS d, role, text FROM m JOIN t ON t.conv_id = first AND t.j <= h
+      UNION ALL SELECT m.conv_id, m + t.j - h, role, text FROM m JOIN t ON t.conv_id = m.conv_id AND t.j > h),
+p AS (SELECT conv_id, d, strlen(text) AS bytes, count(*) OVER (PARTITION BY conv_id) AS size,
+        sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS node FROM r
+      UNION ALL SELECT c.conv_id, 0, 0, (SELECT count(*) FROM r WHERE r.conv_id = c.conv_id), '' FROM c),
+n AS (SELECT node, min(conv_id) AS conv_id, min(d) AS d, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = size), '')) AS ends
+      FROM p GROUP BY node),
+e AS (SELECT n.node, a.node AS parent, b.conv_id AS parent_conv FROM n JOIN p a ON a.conv_id = n.conv_id AND a.d = n.d - 1
+      JOIN n b ON b.node = a.node),
+k AS (SELECT parent AS node, count(*) AS n_children FROM e GROUP BY parent),
+u AS (SELECT a.node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves, sum(saved) AS saved
+      FROM n JOIN p a ON a.conv_id = n.conv_id AND a.d <= n.d LEFT JOIN k ON k.node = n.node GROUP BY a.node)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, e.parent_conv AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+  CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves,
+  CAST(u.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN u ON u.node = n.node LEFT JOIN e ON e.node = n.node LEFT JOIN k ON k.node = n.node"""
+
+
+@register("op11_conversation_prefix_trie", _OP11_SQL)
+def op11_conversation_prefix_trie(spark, sf_dir):
+    return prefixtrie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 @register("op12_prefix_trie_bpe")
 def op12_prefix_trie_bpe(spark, sf_dir):
     shared = triebpe.tables(spark, tokenizer_file("byte_bpe_50k.json"))
