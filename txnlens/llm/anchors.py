@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 
-from txnlens.llm.common import first_argmin, range_hashes, window_hashes
+from txnlens.llm.common import RangeHashes, first_argmin, window_hashes
 
 
-def context_anchors(symbols: np.ndarray, window: int, gram: int):
+def context_anchors(symbols: np.ndarray, window: int, gram: int, hashes: RangeHashes | None = None):
     """(anchor hash, position, start, end, context hash) arrays of one document's symbol hashes (uint64).
 
     ``symbols[start:end]`` is the context of the anchor at ``position``. The context hash also covers the place of the anchor
@@ -26,17 +26,17 @@ def context_anchors(symbols: np.ndarray, window: int, gram: int):
     owner = first_argmin(grams, window - gram + 1)
     start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     at, end = owner[start], np.r_[start[1:], len(owner)] + window - 1
-    context = range_hashes(symbols, start, end) ^ ((at - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    context = (hashes or RangeHashes(symbols)).of(start, end) ^ ((at - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return grams[at].view(np.int64), at, start, end, context.view(np.int64)
 
 
-def halves(symbols: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, window: int, gram: int):
+def halves(hashes: RangeHashes, at: np.ndarray, start: np.ndarray, end: np.ndarray, window: int, gram: int):
     """(left, right): hashes of an anchor with half of what a window holds besides it, before and after; 0: not in the context.
 
     A window holds one of the two whole, so contexts that share a window share a half.
     """
     half = (window - gram + 1) // 2
     before, after = at - half >= start, at + gram + half <= end
-    found = range_hashes(symbols, np.r_[np.where(before, at - half, at), at], np.r_[at + gram, np.where(after, at + gram + half, at)])
+    found = hashes.of(np.r_[np.where(before, at - half, at), at], np.r_[at + gram, np.where(after, at + gram + half, at)])
     left, right = np.split(found.view(np.int64) | 1, 2)
     return np.where(before, left, 0), np.where(after, right, 0)

@@ -260,15 +260,28 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard
     return found.where("size(spans_) > 0").groupBy("id_", "row_").agg(F.flatten(F.collect_list("spans_")).alias("spans"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """The rows of ``docs`` with a struct column ``dedup_``: n_words, n_removed, kept (the words left, joined by one space).
+def without(data: bytes, starts: np.ndarray, spans) -> bytes:
+    """A text without the words of the spans [from, to) and the white space after them; all else stays as it is."""
+    edges = [*starts.tolist(), len(data)]
+    out, at = [], 0
+    for a, b in spans:
+        out.append(data[at:edges[a]])
+        at = edges[b]
+    return b"".join([*out, data[at:]])
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
+          into: str = "dedup_", as_text: bool = False) -> DataFrame:
+    """The rows of ``docs`` with a struct column ``into``: n_words, n_removed, kept (the words left, joined by one space; with
+    ``as_text`` the text as it was but for the removed spans, null for null). An input column of that name gives way.
 
     Keys must be orderable. A null text has no words; rows with a null key are kept whole and remove nothing; rows with equal
     keys remove nothing from each other, as neither key is smaller. An empty table gives no rows. All columns pass through.
     """
     small_batches(docs.sparkSession)
     given = docs.select(F.col(f"`{id_col}`").alias("id_"), F.xxhash64(F.col(f"`{text_col}`")).alias("row_"),
-                        F.col(f"`{text_col}`").alias("text_"), F.struct("*").alias("all_"))
+                        F.col(f"`{text_col}`").alias("text_"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != into]).alias("all_"))
     spans = removed_spans(given.select("id_", "row_", "text_"), window, gram)
     spans = spans.withColumnsRenamed({"id_": "i_", "row_": "r_"})
     joined = given.join(spans, (F.col("id_") == F.col("i_")) & (F.col("row_") == F.col("r_")), "left")
@@ -279,12 +292,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
         for text, begin, stop in zip(texts, begins, stops, strict=True):
             data = to_bytes(text)
             starts, ends, _ = word_spans(data)
-            keep = np.ones(len(starts), bool)
+            keep, removed = np.ones(len(starts), bool), []
             if begin is not None:
-                for a, b in zip(*merge_spans(np.asarray(begin), np.asarray(stop)), strict=True):
+                removed = list(zip(*merge_spans(np.asarray(begin), np.asarray(stop)), strict=True))
+                for a, b in removed:
                     keep[a:b] = False
+            if as_text:
+                left = None if text is None else without(data, starts, removed).decode("utf-8", "surrogatepass")
+                rows.append((len(keep), int((~keep).sum()), left))
+                continue
             words = [data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]
             rows.append((len(keep), int((~keep).sum()), b" ".join(words).decode("utf-8", "surrogatepass")))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
-    return joined.select("all_", cut("text_", "spans.from", "spans.to").alias("dedup_")).select("all_.*", "dedup_")
+    return joined.select("all_", cut("text_", "spans.from", "spans.to").alias("new_")).select("all_.*", F.col("new_").alias(into))

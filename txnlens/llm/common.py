@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Python workers take ``rows`` rows at a time in what is run inside; the session's setting holds again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage and survives the loss of executors."""
     return materialize(df, label)
@@ -89,42 +102,88 @@ def first_argmin(h: np.ndarray, w: int) -> np.ndarray:
     return np.where(h[behind] <= h[ahead], behind, ahead)
 
 
-# Hashing of words straight from UTF-8 bytes. Fixed seed: hashes are compared across tasks.
+# Hashes of ranges are polynomials modulo a prime: modulo a power of two, words that differ by a pattern would hash alike.
+# Fixed seed: hashes are compared across tasks.
 _rng = np.random.default_rng(20240117)
-_BYTE_VALUE = _rng.integers(1, 1 << 62, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
+_PRIME = (1 << 61) - 1
+_P, _HALF = np.uint64(_PRIME), np.uint64(0xFFFFFFFF)
+_BYTE_VALUE = _rng.integers(1, 1 << 60, 256, dtype=np.uint64) | np.uint64(1)
+_BASE = int(_rng.integers(1 << 59, 1 << 60))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = {"n": 0}
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2**64 modulo the prime."""
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b) -> np.ndarray:
+    """Products modulo the prime of numbers below it, by halves of 32 bits."""
+    a1, a0, b1, b0 = a >> np.uint64(32), a & _HALF, b >> np.uint64(32), b & _HALF
+    middle, low = a1 * b0 + a0 * b1, a0 * b0
+    x = (a1 * b1 << np.uint64(3)) + (middle >> np.uint64(29)) + ((middle & np.uint64((1 << 29) - 1)) << np.uint64(32))
+    return _reduced(x + (low >> np.uint64(61)) + (low & _P))
+
+
 def _power_tables(n: int):
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them; they grow with the longest text."""
+    """Powers of the base and of its inverse modulo the prime, at least ``n`` of them; they grow with the longest text."""
     if _powers["n"] < n:
-        size = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                table = np.full(size, base, np.uint64)
-                table[0] = 1
-                _powers[name] = np.multiply.accumulate(table)
+        size = 1 << max(16, (n - 1).bit_length())
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, _PRIME))):
+            table = np.ones(size, np.uint64)
+            known = 1
+            while known < size:
+                table[known:2 * known] = _times(table[:known], np.uint64(pow(base, known, _PRIME)))
+                known *= 2
+            _powers[name] = table
         _powers["n"] = size
     return _powers["up"], _powers["down"]
 
 
+class RangeHashes:
+    """Hashes of any ranges of ``values``: equal ranges hash alike wherever they stand. Sums are kept by halves of 32 bits."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = _power_tables(len(values) + 1)
+        terms = _times(_reduced(values), up[:len(values)])
+        self.high, self.low = np.zeros((2, len(values) + 1), np.uint64)
+        np.cumsum(terms >> np.uint64(32), out=self.high[1:])
+        np.cumsum(terms & _HALF, out=self.low[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        whole = _times(_reduced(self.high[ends] - self.high[starts]), np.uint64(1 << 32))
+        whole += _reduced(self.low[ends] - self.low[starts])
+        return mix(_times(_reduced(whole), self.down[starts]), (ends - starts).astype(np.uint64))
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each range: equal ranges hash alike wherever they stand."""
-    up, down = _power_tables(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts], (ends - starts).astype(np.uint64))
+    """Hash of ``values[start:end]`` for each range."""
+    return RangeHashes(values).of(starts, ends)
 
 
 def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, hashes) of the words of UTF-8 bytes: maximal runs without the six ASCII white-space characters."""
+    """(starts, ends, hashes) of the words of UTF-8 bytes: maximal runs without the six ASCII white-space characters.
+
+    The hash of a word adds up a scrambled number for each of its bytes and its place in the word.
+    """
     raw = np.frombuffer(data, np.uint8)
     edge = np.diff(np.r_[True, _SPACE[raw], True].view(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return starts, ends, range_hashes(_BYTE_VALUE[raw], starts, ends)
+    if not len(starts):
+        return starts, ends, np.empty(0, np.uint64)
+    sizes = np.diff(starts, append=len(raw))
+    sizes[0] += starts[0]  # white space before the first word is in no sum
+    place = np.arange(len(raw)) - np.repeat(starts, sizes)
+    x = (((place << 8) + raw + 1).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(x, out=sums[1:])
+    return starts, ends, mix(sums[ends] - sums[starts], (ends - starts).astype(np.uint64))
 
 
 def to_bytes(text: str | None) -> bytes:

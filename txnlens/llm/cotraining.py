@@ -185,15 +185,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return co_train(_views(labelled[~held]), y[~held], _views(labelled[held]), y[held], _views(free_rows), rounds)
 
 
-def classify(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with ``quality_`` (struct: score, content_score, page_score) and ``kept_``.
+def classify(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD,
+             into: str = "quality_", kept: str = "kept_") -> DataFrame:
+    """The rows of ``docs`` with ``into`` (struct: score, content_score, page_score) and ``kept``; input columns so named give way.
 
     A null text is scored as an empty one. Without a model every score is null and every row is kept. All columns pass
     through unchanged; an empty table gives no rows.
     """
     if model is None:
         nothing = F.struct(*[F.lit(None).cast("double").alias(c) for c in ("score", "content_score", "page_score")])
-        return docs.withColumns({"quality_": nothing, "kept_": F.lit(True)})
+        return docs.withColumns({into: nothing, kept: F.lit(True)})
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("score double, content_score double, page_score double")
@@ -204,5 +205,5 @@ def classify(docs: DataFrame, model: Model | None, text_col: str = "text", thres
         return pd.DataFrame({"score": model.score(content, page), "content_score": sigmoid(model.content.odds(content)),
                              "page_score": sigmoid(model.page.odds(page))})
 
-    given = docs.withColumn("quality_", scores(F.col(text_col), *_page_columns(docs)))
-    return given.withColumn("kept_", F.col("quality_.score") >= threshold)
+    given = docs.withColumn(into, scores(F.col(text_col), *_page_columns(docs)))
+    return given.withColumn(kept, F.col(f"`{into}`.score") >= threshold)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from txnlens.llm import induced
 from txnlens.llm.anchors import context_anchors, halves
-from txnlens.llm.common import _BYTE_VALUE, merge_spans, small_batches, stored, to_bytes, window_hashes
+from txnlens.llm.common import _BYTE_VALUE, RangeHashes, merge_spans, small_batches, stored, to_bytes, window_hashes
 
 WINDOW = 400
 GRAM = 32
@@ -36,8 +36,9 @@ def occurrences(docs: DataFrame, window: int, gram: int) -> DataFrame:
             cols = [[] for _ in range(7)]
             for i, text in enumerate(batch.column(2).to_pylist()):
                 values = _BYTE_VALUE[np.frombuffer(to_bytes(text), np.uint8)]
-                anchor, at, start, end, context = context_anchors(values, window, gram)
-                sides = halves(values, at, start, end, window, gram)
+                hashes = RangeHashes(values)
+                anchor, at, start, end, context = context_anchors(values, window, gram, hashes)
+                sides = halves(hashes, at, start, end, window, gram)
                 for col, part in zip(cols, (np.full(len(anchor), i), anchor, context, start, end - start, *sides), strict=True):
                     col.append(part)
             take, anchor, context, start, size, left, right = (np.concatenate(c).astype(np.int64) for c in cols)

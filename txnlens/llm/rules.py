@@ -216,11 +216,13 @@ _OUT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
         "content_share double, kept boolean")
 
 
-def judge(docs: DataFrame, field: LineField, text_col: str = "text", share: float = CONTENT_SHARE) -> DataFrame:
-    """The rows of ``docs`` with a struct column ``rules_``: base counts, ``content_share`` and ``kept``.
+def judge(docs: DataFrame, field: LineField, text_col: str = "text", share: float = CONTENT_SHARE,
+          into: str = "rules_") -> DataFrame:
+    """The rows of ``docs`` with a struct column ``into``: base counts, ``content_share`` and ``kept``.
 
     A null or wordless text fails the base rules. Blank lines belong to the state of their neighbours and count no words.
-    All columns pass through unchanged.
+    Repeated rows are judged each, a very long text is judged whole, an empty table gives no rows. All columns pass through
+    unchanged, but for an input column named ``into``, which gives way.
     """
     small_batches(docs.sparkSession)
     emit, move = field.emit, field.move
@@ -235,4 +237,4 @@ def judge(docs: DataFrame, field: LineField, text_col: str = "text", share: floa
             rows.append((*base, failed, content, not failed and content >= share))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
 
-    return docs.withColumn("rules_", verdict(F.col(text_col)))
+    return docs.withColumn(into, verdict(F.col(text_col)))

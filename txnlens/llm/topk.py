@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import small_batches, smallest_by_hash, stored
+from txnlens.llm.common import batch_rows, smallest_by_hash, stored
 
 K = 10
 BLOCK = 64
@@ -140,14 +140,16 @@ def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
     An empty table gives no rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    small_batches(spark, 1024)
     rows = scaled(vectors, id_col, vector_col, scale)
     signs = sum((F.when(F.get("v", F.lit(i)) >= 0, F.lit(1 << i)).otherwise(0) for i in range(SIGNS)), F.lit(0))
     ranges = rows.withColumn("signs", signs).repartitionByRange("dim", "signs", "key").sortWithinPartitions("dim", "signs", "key")
-    blocks = stored(packed(ranges, group), "vector-ranges")
+    with batch_rows(spark, 1024):
+        blocks = stored(packed(ranges, group), "vector-ranges")
     asked = rows.where(is_query(F.col("key")))
     batches = packed(asked.repartition("dim", F.pmod(F.xxhash64("row"), F.lit(1 << 30))).sortWithinPartitions("dim"), batch)
-    batches = seeded(stored(batches, "query-batches"), rows, k)
+    with batch_rows(spark, 1024):
+        batches = stored(batches, "query-batches")
+    batches = seeded(batches, rows, k)
     # every query batch meets every range: ranges are dealt evenly, batches (a fixed share of the rows) copied to each deal
     deals = max(1, min(blocks.count(), 4 * spark.sparkContext.defaultParallelism))
     left = blocks.withColumn("deal", F.pmod(F.xxhash64("keys", "rows"), F.lit(deals)).cast("int"))
@@ -166,8 +168,9 @@ def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
                 yield pd.DataFrame({"query_id": q_keys[at], "q_row": q_rows[at], "vec_id": [f[1] for f in found],
                                     "score": [f[2] for f in found]})
 
-    small_batches(spark, 8)  # rows of this join hold whole ranges
     met = left.join(right, ["deal", "dim"]).drop("deal").mapInPandas(run, "query_id long, q_row long, vec_id long, score long")
+    with batch_rows(spark, 8):  # rows of this join hold whole ranges
+        met = stored(met, "met-scores")
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
