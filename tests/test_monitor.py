@@ -46,10 +46,11 @@ def test_textbook_psi_uses_every_row_and_is_symmetric(frame):
         (d, f): n for d, n in (("a", 250), ("b", 150)) for f in ("u", "w")}
 
 
-@pytest.mark.parametrize("hot_rows", [10 ** 6, 15])
-def test_exact_quantiles_against_numpy(frame, hot_rows):
+@pytest.mark.parametrize("least", [10 ** 6, 15, 1])
+def test_exact_quantiles_against_numpy(frame, least):
     pdf, df = frame
-    got = MO.quantile_edges(MO.long_features(df, ["u", "w"]), ["dataset", "feature"], 10, hot_rows)
+    got = MO.quantile_edges(MO.long_features(df, ["u", "w"]), ["dataset", "feature"], 10, least=least)
+    assert len(got) == 4
     for (d, f), edges in got.items():
         want = np.unique(np.quantile(pdf[pdf.dataset == d][["u", "w"][f]], np.linspace(0, 1, 11)))
         assert np.allclose(edges, want, atol=1e-12)

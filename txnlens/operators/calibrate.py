@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from txnlens.operators import evaluate as EV
 from txnlens.operators import monitor as MO
-from txnlens.operators import running as R
 
 TYPES = ("isotonic", "logistic")
 BIN_TYPES = ("uniform", "quantile")
@@ -67,8 +66,7 @@ def mapping_table(calibrator: Model, spark: SparkSession, increment: float = 0.0
     return apply(calibrator, scores, "calibrated_score")
 
 
-def reliability_curve(scored: DataFrame, bin_type: str = "uniform", n_bins: int = 5, by=("dataset",),
-                      hot_rows: int = R.HOT_ROWS) -> DataFrame:
+def reliability_curve(scored: DataFrame, bin_type: str = "uniform", n_bins: int = 5, by=("dataset",)) -> DataFrame:
     """(by..., bin, n, prob_score, prob_true) of the bins that hold any row.
 
     A score equal to an inner edge belongs to the lower bin.
@@ -83,7 +81,7 @@ def reliability_curve(scored: DataFrame, bin_type: str = "uniform", n_bins: int
             above = above + (F.col("score") > F.lit(i * (1.0 / n_bins))).cast("int")
         binned = scored.withColumn("bin", above)
     else:
-        found = MO.quantile_edges(scored.withColumnRenamed("score", "value"), list(by), n_bins, hot_rows)
+        found = MO.quantile_edges(scored.withColumnRenamed("score", "value"), list(by), n_bins)
         inner = {tuple(str(v) for v in k): e[1:-1] for k, e in found.items()}
         # one row per data set
         edges = MO.edge_table(scored.sparkSession, list(by), inner.items(), n_bins)

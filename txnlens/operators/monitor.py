@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlens.functions.scalars import log_ratio
-from txnlens.operators import running as R
+from txnlens.operators import quantiles as Q
 
 EPS = 1e-6  # fixed value: edge widening and the rate that stands for an empty bin
 BIN_TYPES = ("fixed", "quantiles")
@@ -43,49 +43,17 @@ def _name(names, column):
     return F.get(F.array(*[F.lit(n) for n in names]), F.col(column))
 
 
-def quantile_edges(values: DataFrame, keys, n_bins: int, hot_rows: int = R.HOT_ROWS, exact: bool = True,
-                   accuracy: int = 10_000) -> dict:
+def quantile_edges(values: DataFrame, keys, n_bins: int, exact: bool = True, accuracy: int = 10_000, **how) -> dict:
     """Distinct n-quantiles of ``value`` per key, as {key tuple: array}.
 
-    Exact ones are interpolated between the values at the neighbouring ranks, which come from cumulative
-    counts along the distinct values; only values at wanted ranks (a few per key) reach the driver.
-    ``exact=False`` takes the mergeable sketch instead (rank error at most rows / accuracy, no interpolation)
-    and needs no shuffle of values.
+    Exact ones are interpolated between the values at the neighbouring ranks, see ``quantiles``; ``how`` goes there.
+    ``exact=False`` takes a sketch alone (rank error at most rows / accuracy, no interpolation) in one pass.
     """
     shares = [i / n_bins for i in range(n_bins + 1)]
     if not exact:
         q = values.groupBy(*keys).agg(F.percentile_approx("value", shares, accuracy).alias("q"))
         return {tuple(r[k] for k in keys): np.unique(r["q"]) for r in q.collect()}
-    groups = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    c = R.prefix_sums(groups, keys, "value", {"upto": ("sum", F.col("n"))},
-                      {"total": ("sum", F.col("n"))}, hot_rows, values, F.approx_count_distinct("value"))
-    # Keep a value when a wanted rank lies in its run of ranks or next to it: the last wanted rank at or
-    # before the run's end must not be before its start.
-    gaps = F.expr("greatest(total - 1, 1)")
-    c = (c.withColumn("gaps", gaps)
-         .withColumn("i", F.expr(f"least((((upto + 1) * {n_bins} + gaps - 1) div gaps) - 1, {n_bins})"))
-         .where(F.expr(f"(total - 1) * i div {n_bins} >= upto - n - 1")))
-    found: dict = {}
-    for r in c.select(*keys, "value", "n", "upto", "total").collect():
-        found.setdefault(tuple(r[k] for k in keys), []).append(r)
-    return {key: _interpolated(rows, shares) for key, rows in found.items()}
-
-
-def _interpolated(rows, shares) -> np.ndarray:
-    runs = sorted((r["upto"] - r["n"], r["upto"], r["value"]) for r in rows)
-    last = rows[0]["total"] - 1
-
-    def at(rank):
-        return next(v for lo, hi, v in runs if lo <= rank < hi)
-
-    out = []
-    for share in shares:
-        place = last * share
-        lo, hi = at(int(np.floor(place))), at(int(np.ceil(place)))
-        t = place - np.floor(place)
-        # interpolate from the nearer end
-        out.append(hi - (hi - lo) * (1 - t) if t >= 0.5 else lo + (hi - lo) * t)
-    return np.unique(out)
+    return {key: np.unique(found) for key, found in Q.quantiles(values, keys, shares, **how).items()}
 
 
 def fixed_edges(lo: float, hi: float, n_bins: int, legacy: bool = False) -> np.ndarray:
@@ -116,11 +84,11 @@ def _ends(values: DataFrame, keys) -> dict:
 
 
 def bins(values: DataFrame, keys, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False,
-         hot_rows: int = R.HOT_ROWS, exact: bool = True) -> dict:
+         exact: bool = True) -> dict:
     """Edges of each key's own values. Keys are data set and feature names, so this stays small."""
     _check_bins(bin_type)
     if bin_type == "quantiles":
-        found = quantile_edges(values, keys, n_bins, hot_rows, exact)
+        found = quantile_edges(values, keys, n_bins, exact)
     else:
         found = {k: fixed_edges(lo, hi, n_bins, legacy) for k, (lo, hi) in _ends(values, keys).items()}
     return {k: widen(e, legacy) for k, e in found.items()}
@@ -163,27 +131,12 @@ def cell_counts(values: DataFrame, cells, legacy: bool, extra=()) -> DataFrame:
     edges = spark.createDataFrame([(f, d, [float(x) for x in u]) for (f, d), u in merged.items()],
                                   "feature int, dataset int, edges array<double>")
     most = max((len(u) for u in merged.values()), default=1)
-    placed = _edges_below(values.join(F.broadcast(edges), ["feature", "dataset"]),
+    placed = Q.edges_below(values.join(F.broadcast(edges), ["feature", "dataset"]),
                           ["feature", "dataset", *extra], most)
     counted = placed.groupBy("feature", "dataset", *extra, "slot").agg(F.count(F.lit(1)).alias("n"))
     return counted.join(gaps, ["feature", "dataset", "slot"]).groupBy("cell", *extra, "bin").agg(F.sum("n").alias("n"))
 
 
-def _edges_below(rows: DataFrame, keep, most: int) -> DataFrame:
-    """(keep..., slot): how many of ``edges`` (sorted, at most ``most``) are below ``value``.
-
-    A halving search written as one projection per step: a few comparisons whatever the number of edges, in
-    code small enough to be compiled.
-    """
-    found = F.lit(0)
-    step = 1 << max(0, most.bit_length() - 1)
-    while step:
-        up = F.coalesce(F.col("value") > F.get(F.col("edges"), found + (step - 1)), F.lit(False))
-        rows = rows.select(*keep, "value", "edges", (found + F.when(up, step).otherwise(0)).alias("slot"))
-        found, step = F.col("slot"), step // 2
-    return rows.select(*keep, "slot")
-
-
 def bin_grid(spark, keyed, names) -> DataFrame:
     """(cell, names..., bin, lower, upper): every bin of every cell, from (name values, edges) pairs."""
     rows = [(c, *key, i, float(e[i]), float(e[i + 1])) for c, (key, e) in enumerate(keyed) for i in range(len(e) - 1)]
@@ -192,10 +145,10 @@ def bin_grid(spark, keyed, names) -> DataFrame:
 
 
 def bin_table(df: DataFrame, features, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False, extra=(),
-              hot_rows: int = R.HOT_ROWS, exact: bool = True):
+              exact: bool = True):
     """(grid, counts) of the bins of each data set and feature: two passes, edges and then counts by cell."""
     values = long_features(df, features)
-    found = bins(values, ["dataset", "feature"], bin_type, n_bins, legacy, hot_rows, exact)
+    found = bins(values, ["dataset", "feature"], bin_type, n_bins, legacy, exact)
     datasets = sorted({d for d, _ in found})
     coded = long_features(_coded(df, datasets), features, keep=("dataset", *extra))
     keys = sorted(found)
@@ -205,7 +158,7 @@ def bin_table(df: DataFrame, features, bin_type: str = "fixed", n_bins: int = 10
 
 
 def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins: int = 10, legacy: bool = False,
-             hot_rows: int = R.HOT_ROWS, exact: bool = True) -> DataFrame:
+             exact: bool = True) -> DataFrame:
     """(dataset1, dataset2, feature, csi) for every pair of data sets, in the order they are listed.
 
     Two passes: edges, then one count per (feature, pair, data set, bin).
@@ -216,7 +169,7 @@ def csi_long(df: DataFrame, features, datasets, bin_type: str = "fixed", n_bins:
     df = df.where(F.col("dataset").isin(datasets))
     values = long_features(_coded(df, datasets), features)
     ends = _ends(values, ["feature", "dataset"])
-    quantiles = quantile_edges(values, ["feature", "dataset"], n_bins, hot_rows, exact) if bin_type == "quantiles" else {}
+    quantiles = quantile_edges(values, ["feature", "dataset"], n_bins, exact) if bin_type == "quantiles" else {}
     cells, listed = [], []
     for f in range(len(features)):
         for a, b in combinations([d for d in range(len(datasets)) if (f, d) in ends], 2):
@@ -276,10 +229,10 @@ def in_order(df: DataFrame, column: str, order) -> DataFrame:
 
 
 def woe(df: DataFrame, features, label: str, bin_type: str = "quantiles", n_bins: int = 10, legacy: bool = False,
-        hot_rows: int = R.HOT_ROWS, exact: bool = True) -> DataFrame:
+        exact: bool = True) -> DataFrame:
     """Weight of evidence per data set, feature and bin, with a half-count adjusted form."""
     features, keys = list(features), ["dataset", "feature"]
-    grid, counted = bin_table(df, features, bin_type, n_bins, legacy, (label,), hot_rows, exact)
+    grid, counted = bin_table(df, features, bin_type, n_bins, legacy, (label,), exact)
     counted = counted.groupBy("cell", "bin").agg(
         *[F.sum(F.when(F.col(label) == k, F.col("n")).otherwise(0)).alias(f"cnt_{k}") for k in (0, 1)])
     counts = grid.join(counted, ["cell", "bin"], "left").fillna(0, ["cnt_0", "cnt_1"])
