@@ -38,10 +38,10 @@ def brute(pdf, keys, exclusive):
 def test_running_matches_brute_force(rows, hot_rows, extra, exclusive):
     pdf, df = rows
     s = R.split(df, ["k"], F.col("p"), hot_rows)
-    assert s.hot == (hot_rows < 1000)
+    assert (s.hot is not None) == (hot_rows < 1000)
     aggs = {"s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v")),
             "f": ("first", F.col("v")), "l": ("last", F.col("v"))}
-    got = R.running(s, ["p", "id"], aggs, extra_keys=extra, exclusive=exclusive).select("id", *aggs).collect()
+    got = R.running(s, ["p", "id"], aggs, extra_keys=extra, exclusive=exclusive).done().select("id", *aggs).collect()
     want = brute(pdf, ["k", *extra], exclusive)
     for g, w in zip(sorted(tuple(r) for r in got), want):
         assert g[0] == w[0]
@@ -52,9 +52,26 @@ def test_running_matches_brute_force(rows, hot_rows, extra, exclusive):
 def test_blocks_bound_the_rows_of_a_hot_key(rows):
     pdf, df = rows
     s = R.split(df, ["k"], F.col("p"), 30)
-    sizes = s.frame.where(F.col(R.BLOCK) >= 0).groupBy("k", R.BLOCK).count().agg(F.max("count")).first()[0]
-    assert sizes <= 30
-    assert s.frame.count() == len(pdf)
+    assert s.hot.groupBy("k", R.BLOCK).count().agg(F.max("count")).first()[0] <= 30
+    assert s.done().count() == len(pdf) and s.done().columns == df.columns
+    # a key gets blocks by its own size, and only its rows leave the plain window
+    sizes = pdf.groupby("k").size()
+    blocks = {r["k"]: r["n"] for r in s.hot.groupBy("k").agg(F.count_distinct(R.BLOCK).alias("n")).collect()}
+    assert set(blocks) == {k for k, n in sizes.items() if n > 30}
+    assert all(n / 30 <= blocks[k] <= 4 * -(-n // 30) for k, n in sizes.items() if k in blocks)
+    assert blocks["hot"] > blocks["a"]
+
+
+def test_cold_rows_are_neither_stored_nor_shuffled_twice(rows):
+    _, df = rows
+    s = R.split(df, ["k"], F.col("p"), 30).clustered()
+    one = R.running(s, ["p", "id"], {"a": ("sum", F.lit(1))}, extra_keys=["g"])
+    two = R.running(one, ["p", "id"], {"b": ("sum", F.col("a"))})
+    plan = two.cold._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "parquet" not in plan
+    executed = two.cold._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning(k") <= 2  # the rows, and the counts of hot keys on the broadcast side
+    assert two.hot.where("k = 'hot'").count() + two.cold.count() <= len(df.collect())
 
 
 def test_totals(rows):
@@ -71,7 +88,7 @@ def test_totals(rows):
 def test_plain_plan_has_one_exchange(rows):
     _, df = rows
     s = R.split(df, ["k"], F.col("p")).clustered()
-    one = s.on(R.running(s, ["p", "id"], {"a": ("sum", F.lit(1))}, extra_keys=["g"]))
+    one = R.running(s, ["p", "id"], {"a": ("sum", F.lit(1))}, extra_keys=["g"])
     two = R.running(one, ["p", "id"], {"b": ("sum", F.col("a"))})
-    plan = two._jdf.queryExecution().executedPlan().toString()
+    plan = two.cold._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1

@@ -32,7 +32,7 @@ def _positions(rows: DataFrame, id_column: str, seed: int, name: str, hot_rows:
     """Number the rows of each data set 1, 2, ... in the order of a seeded hash."""
     hashed = rows.withColumn("__h", F.xxhash64(F.col(id_column), F.lit(seed)))
     s = R.split(hashed, ["dataset"], F.col("__h"), hot_rows)
-    return s.on(R.running(s, ["__h", id_column], {name: ("sum", F.lit(1).cast("long"))})).done().drop("__h")
+    return R.running(s, ["__h", id_column], {name: ("sum", F.lit(1).cast("long"))}).done().drop("__h")
 
 
 def _with_partner(rows: DataFrame, id_column: str, seeds, hot_rows: int) -> DataFrame:

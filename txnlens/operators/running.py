@@ -1,9 +1,9 @@
 """Running aggregates per key that stay parallel when one key holds a large share of the rows.
 
-A plain ``Window.partitionBy(key)`` puts every row of a key in one task. Here keys with more rows than one
-task should sort are cut, by quantiles of the ordering position, into blocks. Each block is a window of its
-own, and what came before a block is added from a small table of block totals. Keys below the limit take
-the plain window, and when no key is above it the plan is just that window.
+A plain ``Window.partitionBy(key)`` puts every row of a key in one task. Here the rows of keys with more rows than one
+task should sort leave the plain window: they alone are stored, cut by quantiles of the ordering position into as many blocks as
+the key needs. Each block is a window of its own, and what came before a block is added from a small table of block totals. All
+other rows take the plain window, and when no key is above the limit the plan is just that window.
 """
 
 from __future__ import annotations
@@ -24,26 +24,23 @@ _FOLD = {"sum": F.sum, "min": F.min, "max": F.max}
 
 @dataclass(frozen=True)
 class Split:
-    """Rows ready for running aggregates: ``frame`` has the BLOCK column when some key was cut."""
+    """Rows ready for running aggregates: ``hot`` holds those of the keys that were cut, with the BLOCK column."""
 
-    frame: DataFrame
+    cold: DataFrame
     keys: tuple
-    hot: bool
+    hot: DataFrame | None = None
 
-    @property
-    def cluster(self) -> list:
-        return [*self.keys, BLOCK] if self.hot else list(self.keys)
-
-    def on(self, frame: DataFrame) -> "Split":
-        """The same split over a frame derived from this one."""
-        return replace(self, frame=frame)
+    def map(self, change) -> "Split":
+        """The same split after a change that keeps the rows: ``change`` takes a frame and returns one."""
+        return replace(self, cold=change(self.cold), hot=None if self.hot is None else change(self.hot))
 
     def clustered(self) -> "Split":
-        """One explicit shuffle that serves every window over the keys plus further columns."""
-        return self.on(self.frame.repartition(*self.cluster))
+        """One explicit shuffle of each part that serves every window over the keys plus further columns."""
+        hot = None if self.hot is None else self.hot.repartition(*self.keys, BLOCK)
+        return replace(self, cold=self.cold.repartition(*self.keys), hot=hot)
 
     def done(self) -> DataFrame:
-        return self.frame.drop(BLOCK) if self.hot else self.frame
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot.drop(BLOCK))
 
 
 def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS, size: Column | None = None):
@@ -70,42 +67,37 @@ def split(df: DataFrame, keys, position: Column, hot_rows: int = HOT_ROWS, count
     keys = list(keys)
     found = hot_keys(df if counted is None else counted, keys, hot_rows, size)
     if found is None:
-        return Split(df, tuple(keys), False)
+        return Split(df, tuple(keys))
     hot, top, limit = found
-    blocks = min(-(-top // limit) * 2, MAX_HOT_KEYS)
-    shares = [i / blocks for i in range(1, blocks)]
+    # a key of n rows gets about 2 * n / limit blocks, a power of two, so that few lists of shares serve all keys
+    classes = max(1, (-(-top // limit) - 1).bit_length())
+    grade = F.greatest(F.lit(1), F.ceil(F.log2(F.ceil(F.col("n") / limit)))).cast("int")
+    named = F.broadcast(hot.select(*keys, grade.alias("__grade")))  # at most MAX_HOT_KEYS rows, see hot_keys
     source = df if counted is None or size is not None else counted
-    edges = (
-        # hot has at most MAX_HOT_KEYS rows (see hot_keys), so it may be broadcast
-        source.join(F.broadcast(hot.select(*keys)), keys)
-        .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(position, shares, max(10_000, 4 * blocks))).alias("__edges"))
-    )
+    cuts = []
+    for k in range(1, classes + 1):
+        blocks = min(2 << k, MAX_HOT_KEYS)
+        shares = [i / blocks for i in range(1, blocks)]
+        cuts.append(F.percentile_approx(F.when(F.col("__grade") == k, position), shares, max(10_000, 4 * blocks)))
+    edges = source.join(named, keys).groupBy(*keys).agg(F.array_distinct(F.coalesce(*cuts)).alias("__edges"))
     # Two levels of edges: about 2 * sqrt(blocks) comparisons per row instead of blocks.
-    step = max(1, int(len(shares) ** 0.5))
-    edges = edges.select(
-        *keys,
-        F.expr(f"transform(sequence(0, (size(__edges) - 1) div {step}), i -> "
-               f"slice(__edges, i * {step} + 1, {step}))").alias("__fine"),
+    edges = edges.withColumn("__step", F.greatest(F.lit(1), F.sqrt(F.size("__edges")).cast("int"))).select(
+        *keys, "__step", F.expr("transform(sequence(0, (size(__edges) - 1) div __step), i -> "
+                                "slice(__edges, cast(i * __step + 1 as int), __step))").alias("__fine"),
     ).withColumn("__coarse", F.transform("__fine", lambda chunk: chunk[0]))
     p = F.col("__pos")
     chunk = F.size(F.filter("__coarse", lambda e: e < p))
     inside = F.size(F.filter(F.get(F.col("__fine"), chunk - 1), lambda e: e < p))
-    block = (F.when(F.col("__coarse").isNull(), F.lit(-1))
-             .when(chunk == 0, F.lit(0))
-             .otherwise((chunk - 1) * step + inside))
-    frame = (
-        df.withColumn("__pos", position)
-        .join(F.broadcast(edges), keys, "left")
-        .withColumn(BLOCK, block)
-        .drop("__pos", "__fine", "__coarse")
-    )
-    # block totals and windows each read the rows: store them once instead of recomputing what is above
-    return Split(materialize(frame, "blocks"), tuple(keys), True)
+    block = F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * F.col("__step") + inside).cast("int")
+    # the edges of all keys together are about 4 * total / limit numbers, and MAX_HOT_KEYS bounds total / limit
+    cut = (df.withColumn("__pos", position).join(F.broadcast(edges), keys).withColumn(BLOCK, block)
+           .drop("__pos", "__fine", "__coarse", "__step"))
+    # block totals and windows each read the hot rows: store them once instead of recomputing what is above
+    return Split(df.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), tuple(keys), materialize(cut, "blocks"))
 
 
 def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = False,
-            totals: dict | None = None) -> DataFrame:
+            totals: dict | None = None) -> Split:
     """Add running aggregates from the key's first row up to the current one (or the one before it).
 
     ``order``: ascending column names, the first of them rising with the split's position. ``aggs``: output
@@ -114,7 +106,11 @@ def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = Fal
     """
     totals = totals or {}
     keys = [*rows.keys, *extra_keys]
-    part = [*keys, BLOCK] if rows.hot else keys
+    cold = _plain(rows.cold, keys, order, aggs, exclusive, totals)
+    return replace(rows, cold=cold, hot=None if rows.hot is None else _blocked(rows.hot, keys, order, aggs, exclusive, totals))
+
+
+def _windowed(frame: DataFrame, part, order, aggs: dict, exclusive: bool) -> list:
     w = (Window.partitionBy(*part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow))
 
@@ -125,17 +121,21 @@ def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = Fal
             return F.first(F.struct(col.alias("v"))).over(w)
         return F.last(F.when(col.isNotNull(), F.struct(col.alias("v"))), ignorenulls=True).over(w)
 
-    kept = list(rows.frame.columns)
-    out = rows.frame.select(*kept, *[local(k, c).alias(n) for n, (k, c) in aggs.items()])
-    if not rows.hot:
-        whole = Window.partitionBy(*keys)
-        out = out.select(
-            *kept,
-            *[F.col(n)["v"].alias(n) if aggs[n][0] in ("first", "last") else F.col(n) for n in aggs],
-            *[_FOLD[k](c).over(whole).alias(n) for n, (k, c) in totals.items()],
-        )
-        return out
+    return [*frame.columns, *[local(k, c).alias(n) for n, (k, c) in aggs.items()]]
+
+
+def _plain(frame: DataFrame, keys, order, aggs: dict, exclusive: bool, totals: dict) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    return frame.select(*_windowed(frame, keys, order, aggs, exclusive)).select(
+        *frame.columns,
+        *[F.col(n)["v"].alias(n) if aggs[n][0] in ("first", "last") else F.col(n) for n in aggs],
+        *[_FOLD[k](c).over(whole).alias(n) for n, (k, c) in totals.items()],
+    )
+
 
+def _blocked(frame: DataFrame, keys, order, aggs: dict, exclusive: bool, totals: dict) -> DataFrame:
+    part, kept = [*keys, BLOCK], list(frame.columns)
+    out = frame.select(*_windowed(frame, part, order, aggs, exclusive))
     at = F.struct(*order)
 
     def in_block(kind, col):
@@ -146,8 +146,7 @@ def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = Fal
         return F.max_by(F.when(col.isNotNull(), F.struct(col.alias("v"))), F.when(col.isNotNull(), at))
 
     # One row per (key, block): the block count per key is bounded by the split, not by the data.
-    sums = rows.frame if totals else rows.frame.where(F.col(BLOCK) >= 0)
-    sums = sums.groupBy(*part).agg(
+    sums = frame.groupBy(*part).agg(
         *[in_block(k, c).alias(f"__c_{n}") for n, (k, c) in aggs.items()],
         *[_FOLD[k](c).alias(f"__t_{n}") for n, (k, c) in totals.items()],
     )
@@ -184,5 +183,4 @@ def running(rows: Split, order, aggs: dict, extra_keys=(), exclusive: bool = Fal
 def prefix_sums(df: DataFrame, keys, position: str, aggs: dict, totals: dict | None = None,
                 hot_rows: int = HOT_ROWS, counted: DataFrame | None = None, size: Column | None = None) -> DataFrame:
     """Cumulative sums per key along a numeric column, ascending, with optional whole-key totals."""
-    rows = split(df, keys, F.col(position), hot_rows, counted, size)
-    return rows.on(running(rows, [position], aggs, totals=totals)).done()
+    return running(split(df, keys, F.col(position), hot_rows, counted, size), [position], aggs, totals=totals).done()

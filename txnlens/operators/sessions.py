@@ -54,8 +54,7 @@ def running_state(deduped: DataFrame, hot_rows: int = R.HOT_ROWS, counted: DataF
     """
     rows = R.split(deduped, ["sessionId"], F.unix_timestamp("timestamp"), hot_rows, counted).clustered()
     to_recipient = is_txn() & F.col("recipient").isNotNull()
-    rows = rows.on(R.running(rows, ORDER, {"recipientTransactionCount": _count(to_recipient)},
-                             extra_keys=["recipient"]))
+    rows = R.running(rows, ORDER, {"recipientTransactionCount": _count(to_recipient)}, extra_keys=["recipient"])
     aggs = {
         "firstLongitude": ("first", F.col("longitude")),
         "firstLatitude": ("first", F.col("latitude")),
@@ -73,10 +72,8 @@ def running_state(deduped: DataFrame, hot_rows: int = R.HOT_ROWS, counted: DataF
     aggs["amountMin"] = ("min", amount)
     aggs["amountMax"] = ("max", amount)
     aggs["distinctRecipientCount"] = _count(to_recipient & (F.col("recipientTransactionCount") == 1))
-    rows = rows.on(R.running(rows, ORDER, aggs))
-    rows = rows.on(R.running(
-        rows, ORDER, {"previousTransactionDate": ("max", F.when(is_txn(), F.to_date("timestamp")))},
-        exclusive=True))
+    rows = R.running(rows, ORDER, aggs)
+    rows = R.running(rows, ORDER, {"previousTransactionDate": ("max", F.when(is_txn(), F.to_date("timestamp")))}, exclusive=True)
     return rows.done()
 
 

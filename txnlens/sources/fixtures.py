@@ -26,15 +26,14 @@ def sessionize(raw: DataFrame, hot_rows: int = R.HOT_ROWS) -> DataFrame:
     )
     rows = R.split(rows, ["user_id"], F.unix_timestamp("ts"), hot_rows)
     order = ["ts", "event_id"]
-    rows = rows.on(R.running(rows, order, {"prev_ts": ("max", F.col("ts"))}, exclusive=True))
+    rows = R.running(rows, order, {"prev_ts": ("max", F.col("ts"))}, exclusive=True)
     gap = F.col("ts") - F.col("prev_ts")
-    rows = rows.on(rows.frame.withColumn(
+    rows = rows.map(lambda df: df.withColumn(
         "is_new", F.when(gap <= F.expr(f"INTERVAL '{IDLE_HOURS}' HOUR"), 0).otherwise(1)))
-    rows = rows.on(R.running(rows, order, {
+    return R.running(rows, order, {
         "sess": ("sum", F.col("is_new")),
         "k0": ("last", F.when(F.col("is_new") == 1, F.col("k"))),
-    }))
-    return rows.done()
+    }).done()
 
 
 def events(spark: SparkSession, sf_dir: str, hot_rows: int = R.HOT_ROWS) -> DataFrame:
