@@ -87,9 +87,16 @@ def test_nested_sessions_agree_with_running_aggregates(tables):
     assert same_rows(out, tables.transactions().select(*out.columns), 6)
 
 
-def test_nested_sessions_refuse_long_ones(tables):
-    with pytest.raises(ValueError, match="max_session_rows"):
-        SE.nested_transactions(tables.events(), max_session_rows=3)
+@pytest.mark.parametrize("chunk_rows", [1, 3])
+def test_long_sessions_are_chunked_not_refused(tables, chunk_rows):
+    whole = SE.nested_transactions(tables.events())
+    assert whole.where("chunk <> 0").isEmpty()
+    parts = SE.nested_transactions(tables.events(), chunk_rows=chunk_rows, hot_rows=5)
+    assert parts.agg(F.max(F.size("session"))).first()[0] == chunk_rows
+    again = parts.groupBy("uniqueId").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("chunk", "session"))), lambda c: c["session"])).alias("session"))
+    a, b = whole.select("uniqueId", "session"), again
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 @pytest.mark.parametrize("hot_rows", [2, 20])
@@ -99,11 +106,14 @@ def test_hot_customers_give_the_same_profiles(tables, hot_rows):
     assert same_rows(PR.profile_recipients(tx, cal, hot_rows), tables.recipients())
 
 
-def test_nested_recipients_refuse_long_lists(tables):
-    nested = PR.nest_recipients(tables.recipients())
-    assert nested.agg(F.sum(F.size("recipients"))).first()[0] == tables.recipients().count()
-    with pytest.raises(ValueError, match="max_recipients"):
-        PR.nest_recipients(tables.recipients(), 2)
+def test_long_recipient_lists_are_chunked_not_refused(tables):
+    flat = tables.recipients()
+    for chunk_rows in (10 ** 6, 2):
+        nested = PR.nest_recipients(flat, chunk_rows)
+        again = nested.select("profileDate", "customerId", F.explode("recipients").alias("r")).select(
+            "profileDate", "customerId", "r.*").select(*flat.columns)
+        assert flat.exceptAll(again).isEmpty() and again.count() == flat.count()
+        assert (nested.where("chunk > 0").count() > 0) == (chunk_rows == 2)
 
 
 def test_separate_feature_tables_combine_to_the_single_pass(tables):

@@ -12,6 +12,7 @@ from txnlens import schemas
 from txnlens.functions.scalars import seconds_between
 from txnlens.operators import running as R
 
+CHUNK_ROWS = 100_000  # recipients of a customer that one array holds
 QUANTILE_ACCURACY = 1_000_000  # a percentile is exact for groups below this size
 MAX_BROADCAST_DAYS = 500_000  # calendar rows; monthly snapshots with a year of look-back need 365 each
 
@@ -127,25 +128,30 @@ def profile_recipients(tx, calendar, hot_rows: int = R.HOT_ROWS, parts=None) ->
     return _grouped(parts or per_customer(tx, hot_rows), calendar, aggs, ("profileDate", "customerId", "recipient"))
 
 
-def nest_recipients(flat: DataFrame, max_recipients: int = 1_000_000) -> DataFrame:
-    """One row per customer and snapshot with the recipients as an array, ordered by recipient.
+def nest_recipients(flat: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(profileDate, customerId, chunk, recipients): the recipients as arrays, each ordered by recipient.
 
-    The array is as long as the customer's recipient list, so a longer list than ``max_recipients`` is
-    refused, not cut; features read the flat table, which has no such limit.
+    A list of up to ``chunk_rows`` recipients is one array, with ``chunk`` 0. Longer ones are dealt by a hash of the recipient to
+    as many numbered arrays of about half that length as they need: a recipient is in exactly one of them.
     """
-    found = R.hot_keys(flat, ["profileDate", "customerId"], max_recipients)
+    keys = ["profileDate", "customerId"]
+    found = R.hot_keys(flat, keys, chunk_rows)
+    dealt = flat.withColumn("chunk", F.lit(0).cast("long"))
     if found is not None:
-        raise ValueError(f"a customer has {found[1]} recipients, more than max_recipients={max_recipients};"
-                         " use the flat table")
+        hot, _, limit = found
+        parts = hot.select(*keys, F.ceil(F.col("n") * 2 / limit).cast("long").alias("parts"))
+        dealt = flat.join(F.broadcast(parts), keys, "left").withColumn(  # at most MAX_HOT_KEYS rows, see hot_keys
+            "chunk", F.coalesce(F.pmod(F.xxhash64("recipient"), F.col("parts")), F.lit(0).cast("long"))).drop("parts")
     entry = F.struct("recipient", "txnCnt", "minTimestamp")
-    return flat.groupBy("profileDate", "customerId").agg(F.sort_array(F.collect_list(entry)).alias("recipients"))
+    return dealt.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(entry)).alias("recipients"))
 
 
 def profile(tx: DataFrame, calendar: DataFrame, recipients: DataFrame | None = None, nested: bool = False,
-            hot_rows: int = R.HOT_ROWS, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+            hot_rows: int = R.HOT_ROWS, accuracy: int = QUANTILE_ACCURACY, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """All statistics of every snapshot in one job, with the number of distinct recipients.
 
-    ``nested`` adds the recipients array of the stored layout.
+    ``nested`` adds the recipients array of the stored layout, with ``chunk``: one row per customer and snapshot, or one
+    for each chunk of a list longer than ``nest_recipients`` keeps in one array.
     """
     parts = per_customer(tx, hot_rows)
     stats = _open_quantiles(_grouped(parts, calendar, amount_stats(accuracy) + session_stats() + count_stats()))
@@ -154,6 +160,6 @@ def profile(tx: DataFrame, calendar: DataFrame, recipients: DataFrame | None = N
     side = flat.groupBy("profileDate", "customerId").agg(F.count("recipient").alias("distinctRecipientCount"))
     out = stats.join(side, ["profileDate", "customerId"], "left")
     if nested:
-        out = out.join(nest_recipients(flat), ["profileDate", "customerId"], "left")
+        out = out.join(nest_recipients(flat, chunk_rows), ["profileDate", "customerId"], "left")
     ordered = [f.name for f in schemas.PROFILE if f.name != "recipients"]
-    return out.select(*ordered, "distinctRecipientCount", *(["recipients"] if nested else []))
+    return out.select(*ordered, "distinctRecipientCount", *(["chunk", "recipients"] if nested else []))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from txnlens import schemas
 from txnlens.functions.scalars import date_range
 from txnlens.operators import running as R
+from txnlens.sources.writers import materialize
 
 ORDER = ["timestamp", "uniqueId"]
+CHUNK_ROWS = 10_000  # events of a session that one array holds
 
 # Columns of the session so far that transactions carry, the current row included.
 RUNNING = (
@@ -88,25 +90,44 @@ def transactions(events: DataFrame, start=None, end=None, hot_rows: int = R.HOT_
     )
 
 
-def nested_transactions(events: DataFrame, start=None, end=None, max_session_rows: int = 100_000) -> DataFrame:
-    """Transactions with the session so far as ``array<struct>``.
+def numbered_events(events: DataFrame, start=None, end=None, hot_rows: int = R.HOT_ROWS) -> DataFrame:
+    """Every event with its ``ordinal`` in the session, from 1, and the login location."""
+    rows = R.split(dedupe(events, start, end), ["sessionId"], F.unix_timestamp("timestamp"), hot_rows,
+                   in_range(events, start, end)).clustered()
+    return R.running(rows, ORDER, {
+        "ordinal": ("sum", F.lit(1).cast("long")), "firstLongitude": ("first", F.col("longitude")),
+        "firstLatitude": ("first", F.col("latitude"))}).done()
 
-    The arrays of a session grow with the square of its length, so a longer session is refused, not cut;
-    ``transactions`` gives everything the features need for sessions of any length.
+
+def session_chunks(numbered: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(sessionId, chunk, entries): each session once, as numbered arrays of at most ``chunk_rows`` events in order.
+
+    A chunk is gathered by (session, chunk), so the longest session is spread over as many tasks as it has chunks.
     """
-    rows = dedupe(events, start, end)
-    found = R.hot_keys(rows, ["sessionId"], max_session_rows)
-    if found is not None:
-        raise ValueError(f"a session has {found[1]} events, more than max_session_rows={max_session_rows};"
-                         " use transactions()")
-    w = (Window.partitionBy("sessionId").orderBy(*ORDER)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     entry = F.struct(*[f.name for f in schemas.SESSION_ENTRY])
-    return (
-        rows.select(
-            "fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp",
-            F.to_date("timestamp").alias("date"), "action",
-            F.first("longitude").over(w).alias("longitude"), F.first("latitude").over(w).alias("latitude"),
-            "amount", "accountType", "recipient", F.collect_list(entry).over(w).alias("session"),
-        ).where(is_txn())
-    )
+    chunk = F.floor((F.col("ordinal") - 1) / chunk_rows).alias("chunk")
+    gathered = numbered.groupBy("sessionId", chunk).agg(
+        F.sort_array(F.collect_list(F.struct("ordinal", entry.alias("entry")))).alias("entries"))
+    return gathered.select("sessionId", "chunk", F.transform("entries", lambda e: e["entry"]).alias("entries"))
+
+
+def nested_transactions(events: DataFrame, start=None, end=None, chunk_rows: int = CHUNK_ROWS,
+                        hot_rows: int = R.HOT_ROWS) -> DataFrame:
+    """Transactions with the session so far, the current event included, as ``array<struct>`` ``session``.
+
+    A session of up to ``chunk_rows`` events gives one row per transaction, with ``chunk`` 0. A longer one is neither refused nor
+    cut: its transactions have one row per chunk so far, and the arrays of a transaction in the order of ``chunk`` are its
+    session. That form grows with the square of the longest session; ``session_chunks`` holds each event once, and
+    ``transactions`` gives all that the features need.
+    """
+    numbered = materialize(numbered_events(events, start, end, hot_rows), "numbered-events")
+    own = F.floor((F.col("ordinal") - 1) / chunk_rows)
+    tx = numbered.where(is_txn()).withColumn("own", own).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), "own")))
+    chunks = session_chunks(numbered, chunk_rows).withColumnsRenamed({"sessionId": "s", "chunk": "c"})
+    met = tx.join(chunks, F.col("sessionId").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
+    part = F.when(F.col("chunk") < F.col("own"), F.col("entries")).otherwise(
+        F.slice("entries", F.lit(1), (F.col("ordinal") - F.col("own") * chunk_rows).cast("int")))
+    return met.select(
+        "fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp", F.to_date("timestamp").alias("date"), "action",
+        F.col("firstLongitude").alias("longitude"), F.col("firstLatitude").alias("latitude"),
+        "amount", "accountType", "recipient", "chunk", part.alias("session"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txnlens import schemas
+from txnlens.functions import arrays as A
 from txnlens.functions.output import rounded
 from txnlens.functions.scalars import amount_mod, or_default
 from txnlens.operators import evaluate as EV
@@ -114,6 +115,35 @@ def transactions_flat(t):
         "accountType", "recipient"))
 
 
+_NESTED_SQL = """SELECT uniqueId, CAST(actionCount AS BIGINT) AS session_size, CAST(transactionCount AS BIGINT) AS transactions,
+  {amount}, {largest}, CAST(distinctRecipientCount AS BIGINT) AS recipients,
+  uniqueId AS last_event, first_event
+FROM tx_ JOIN (SELECT uniqueId AS id_, first_value(uniqueId) OVER (PARTITION BY sessionId ORDER BY ts, uniqueId)
+               AS first_event FROM ev_) ON id_ = uniqueId"""
+
+
+@register("session_nested", O.query(_NESTED_SQL.format(amount=O.r6("amountSum", "amount_sum"), largest=O.r6("amountMax", "amount_max"))))
+def session_nested(t):
+    """What the features read of a session, taken from the nested arrays themselves."""
+    s, txn = F.col("session"), lambda e: e["action"] == "transaction"
+    return rounded(SE.nested_transactions(t.events()).select(
+        "uniqueId", F.size(s).cast("long").alias("session_size"), A.count_where(s, txn).alias("transactions"),
+        A.sum_where(s, "amount", txn).alias("amount_sum"), A.max_where(s, "amount", txn).alias("amount_max"),
+        A.distinct_where(s, "recipient", txn).alias("recipients"), A.element(s, -1)["uniqueId"].alias("last_event"),
+        A.element(s, 1)["uniqueId"].alias("first_event")))
+
+
+@register("session_chunks", O.query("""
+SELECT sessionId, CAST(chunk AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS events,
+  string_agg(uniqueId, ',' ORDER BY ts, uniqueId) AS ids
+FROM (SELECT *, (row_number() OVER (PARTITION BY sessionId ORDER BY ts, uniqueId) - 1) // 4 AS chunk FROM ev_) GROUP BY sessionId, chunk"""))
+def session_chunks(t):
+    """Sessions as numbered arrays, here of four events so that most sessions have several."""
+    chunks = SE.session_chunks(SE.numbered_events(t.events()), chunk_rows=4)
+    ids = F.array_join(F.transform("entries", lambda e: e["uniqueId"]), ",")
+    return chunks.select("sessionId", "chunk", F.size("entries").cast("long").alias("events"), ids.alias("ids"))
+
+
 @register("session_array_sizes", O.query("SELECT uniqueId, " + _count("actionCount", "session_size") + " FROM tx_"))
 def session_array_sizes(t):
     return SE.transactions(t.events()).select("uniqueId", F.col("actionCount").alias("session_size"))

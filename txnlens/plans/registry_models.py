@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlens import schemas
+from txnlens.functions import arrays as A
 from txnlens.functions.output import rounded
 from txnlens.operators import calibrate as CA
 from txnlens.operators import evaluate as EV
@@ -255,8 +256,24 @@ def profile_nested(t):
     """Recipients nested per customer and snapshot, measured through the array."""
     nested = PR.nest_recipients(t.recipients())
     total = F.aggregate("recipients", F.lit(0).cast("long"), lambda acc, r: acc + r["txnCnt"])
-    return rounded(nested.select("profileDate", "customerId", F.size("recipients").cast("long").alias("recipients"),
-                                 total.alias("txns")))
+    return rounded(nested.groupBy("profileDate", "customerId").agg(
+        F.sum(F.size("recipients")).alias("recipients"), F.sum(total).alias("txns")))
+
+
+@register("profile_nested_join", O.query(
+    "SELECT CAST(p.profileDate AS VARCHAR) AS profileDate, p.customerId, CAST(p.distinctRecipientCount AS BIGINT) AS known, "
+    "CAST(count(r.recipient) AS BIGINT) AS recipients, CAST(sum(r.txnCnt) AS BIGINT) AS txns, "
+    "strftime(min(r.minTimestamp), '%Y-%m-%d %H:%M:%S') AS first_seen FROM prof_ p LEFT JOIN recip_ r ON r.profileDate = p.profileDate "
+    "AND r.customerId = p.customerId GROUP BY ALL"))
+def profile_nested_join(t):
+    """Profiles next to their recipients, in arrays of at most five so that some customers have several."""
+    out = PR.profile(t.transactions(), t.calendar(), t.recipients(), nested=True, chunk_rows=5)
+    txns = F.aggregate("recipients", F.lit(0).cast("long"), lambda acc, r: acc + r["txnCnt"])
+    known = A.count_where(F.col("recipients"), lambda r: r["recipient"].isNotNull())
+    found = out.groupBy("profileDate", "customerId", F.col("distinctRecipientCount").alias("known")).agg(
+        F.sum(known).alias("recipients"), F.sum(txns).alias("txns"),
+        F.min(F.array_min(F.transform("recipients", lambda r: r["minTimestamp"]))).alias("first_seen"))
+    return rounded(found.withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss")))
 
 
 # ---------------------------------------------------------------- streams
