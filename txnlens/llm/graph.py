@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import stored
+from txnlens.llm.common import discard, stored
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     mark = None
     while True:
-        now = stored(small_star(large_star(now)), label)
+        before, now = now, stored(small_star(large_star(now)), label)
+        discard(before)
         # stars have settled when every smaller end is a root; the sums tell it without a join of two rounds
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
