@@ -140,6 +140,10 @@ def _chunks(batches):
         yield held
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang_"), F.col(text_col).alias("text_"))
 
@@ -263,7 +267,7 @@ def counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", leas
     """(prefix, suffix, words, n): every phrase of up to ``longest`` words with ``least`` or more occurrences, and every language
     (words 0) with the number of its words. ``prefix`` and ``suffix`` are the phrase's keys in the two orders."""
     texts = _texts(docs, lang_col, text_col)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _partitions(docs)
     bounds = ranges(texts, partitions, longest)
 
     def windows(batches):
@@ -353,7 +357,7 @@ def annotate(phrases: DataFrame, order: str, label: str, longest: int = LONGEST)
         if out:
             yield batch_of(out)
 
-    partitions = int(phrases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _partitions(phrases)
     ordered = phrases.select(order, *kept).repartitionByRange(partitions, order).sortWithinPartitions(order)
     walked = stored(ordered.mapInArrow(run, schema), label)
     rows, opened = walked.where("NOT open").drop("open"), walked.where("open").select(order, "part", "words", more)
@@ -393,6 +397,9 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                        F.col("prefix_0").alias("n"))
     kept = kept.select(F.col("parts")[0].alias("lang"), F.array_join(F.slice("parts", 2, longest), " ").alias("phrase"), "a",
                        "cut.l", "cut.r", "n", "cut.score")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = kept.withColumn("rank", rank).where(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(_partitions(docs)))  # a language's best are among the best of its parts
+    kept = kept.withColumn("part", part)
+    for by in (["lang", "part"], ["lang"]):
+        kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*best))).where(F.col("rank") <= top)
+    return kept.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
