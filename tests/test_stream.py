@@ -5,6 +5,7 @@ from conftest import same_rows
 from pyspark.sql import functions as F
 
 from txnlens import schemas
+from txnlens.operators import features as FT
 from txnlens.plans import tables as T
 from txnlens.streaming import online as ON
 
@@ -27,6 +28,50 @@ def test_stream_equals_batch(tables, tmp_path):
     assert same_rows(tables.features(), spark.read.parquet(f"{tmp_path}/out"), 6)
 
 
+def test_snapshots_written_while_the_stream_runs_are_used(tables, tmp_path):
+    spark, days = tables.spark, sorted(T.SNAPSHOTS)
+    ON.use_rocksdb(spark)
+    ON.publish(tables.events(), f"{tmp_path}/in", chunks=3, files_per_chunk=1)
+    profile, recipients = tables.profile(), tables.recipients()
+
+    def store(day, mode="append"):
+        for frame, name in ((profile, "profile"), (recipients, "recipients")):
+            frame.where(F.col("profileDate") == F.lit(day)).write.mode(mode).parquet(f"{tmp_path}/{name}")
+
+    store(days[0])
+    seen = []
+
+    def lookup():
+        if seen:  # the stream runs: another snapshot is written before each further micro-batch
+            store(days[min(len(seen), len(days) - 1)])
+        now = spark.read.parquet(f"{tmp_path}/profile").select("profileDate", "customerId").distinct()
+        seen.append(sorted({r[0] for r in now.collect()}))
+        return (spark.read.parquet(f"{tmp_path}/profile"), spark.read.parquet(f"{tmp_path}/recipients"), tables.customer_info())
+
+    tx = ON.online_transactions(ON.with_event_time(ON.replay(spark, f"{tmp_path}/in", 1), "20 days"))
+    ON.feature_batches(tx, lookup, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    assert len(seen) >= 3 and len(seen[0]) == 1 and len(seen[2]) == 3
+    for number, known in enumerate(seen):
+        got = spark.read.parquet(f"{tmp_path}/out/batch={number}")
+        part = tables.transactions().join(got.select("uniqueId"), "uniqueId", "left_semi")
+        some = [x.where(F.col("profileDate").isin(known)) for x in (profile, recipients)]
+        want = FT.features(part, *some, tables.customer_info(),
+                           snapshots=spark.createDataFrame([(d,) for d in known], "profileDate date"))
+        assert same_rows(want, got, 6), number
+    assert spark.read.parquet(f"{tmp_path}/out").count() == tables.transactions().count()
+
+
+def test_state_goes_on_between_batches_of_any_cut(tables, tmp_path):
+    """The same rows whether a session's events come at once or in many micro-batches."""
+    spark = tables.spark
+    ON.use_rocksdb(spark)
+    ON.publish(tables.events(), f"{tmp_path}/in", chunks=6, files_per_chunk=1)
+    stream = ON.with_event_time(ON.replay(spark, f"{tmp_path}/in", 1), "20 days")
+    run(spark, ON.online_transactions(stream), tmp_path)
+    got = spark.read.parquet(f"{tmp_path}/out").drop(ON.EVENT_TIME)
+    assert same_rows(tables.transactions(), got, 6)
+
+
 def test_late_events_are_dropped_and_idle_sessions_forgotten(spark, tmp_path):
     def ev(uid, session, day, action, amount=None):
         return (0, uid, "c", session, dt.datetime(2024, 1, day, 12), action, 1.0, 2.0, amount, None, None)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from txnlens.operators.sessions import RUNNING
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT_TIME = "eventTime"
 _MILLIS = "eventMillis"
+SLICE_ROWS = 5_000_000  # events of a replayed time slice, and of a file in it
+FILE_ROWS = 100_000
 _DATED = {"sessionStart": T.TimestampNTZType(), "previousTransactionDate": T.DateType(),
           "amountSum": T.DoubleType(), "amountMin": T.DoubleType(), "amountMax": T.DoubleType()}
 
@@ -58,12 +61,18 @@ def replay(spark: SparkSession, path: str, files_per_trigger: int = 1, schema: T
             .option("latestFirst", False).json(path))
 
 
-def publish(events: DataFrame, path: str, chunks: int, files_per_chunk: int = 1, time_column: str = "timestamp") -> None:
+def publish(events: DataFrame, path: str, chunks: int | None = None, files_per_chunk: int | None = None,
+            time_column: str = "timestamp") -> None:
     """Write events as NDJSON for a replay in order: one time slice after the other.
 
     Within a slice a session stays in one file, so its events arrive in order however the files are spread
-    over micro-batches. Slices are cut at quantiles of the event time.
+    over micro-batches. Slices are cut at quantiles of the event time; their number and that of their files follow the
+    number of events where they are not given.
     """
+    if chunks is None or files_per_chunk is None:
+        rows = events.count()
+        chunks = chunks or max(2, -(-rows // SLICE_ROWS))
+        files_per_chunk = files_per_chunk or max(1, -(-rows // (chunks * FILE_ROWS)))
     seconds = F.unix_timestamp(time_column)
     cuts = events.agg(F.percentile_approx(seconds, [i / chunks for i in range(1, chunks)] or [1.0], 10_000)).first()[0]
     cuts = [None, *sorted(set(cuts))[: chunks - 1], None]
@@ -93,60 +102,61 @@ class SessionProcessor(StatefulProcessor):
         self.recipients = handle.getMapState("recipients", "recipient string", "n long")
 
     def handleInputRows(self, key, rows, timerValues):
+        """Running aggregates of a session's new events as scans over whole columns, each begun at what the state holds."""
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["timestamp", "uniqueId"], kind="stable")
+        batch = batch.sort_values(["timestamp", "uniqueId"], kind="stable", ignore_index=True)
         names = [f.name for f in _STATE]
+        micros = batch["timestamp"].to_numpy("datetime64[us]").astype("int64")
         held = self.totals.get()
-        s = dict(zip(names, held)) if held is not None else None
-        out = []
-        for e in batch.to_dict("records"):
-            micros = int(pd.Timestamp(e["timestamp"]).value // 1000)
-            millis = int(e[_MILLIS])
-            if s is None:  # first event of the session: its location, missing or not, is the login location
-                s = {n: 0 for n in _COUNTERS}
-                s.update(longitude=_value(e["longitude"]), latitude=_value(e["latitude"]), amountSum=None,
-                         amountMin=None, amountMax=None, sessionStart=micros, lastTransaction=None, latest=millis)
-            s["latest"] = max(s["latest"], millis)
-            s["actionCount"] += 1
-            action = e["action"]
-            if action in schemas.ACTIONS:
-                s[f"action{schemas.ACTIONS.index(action)}Count"] += 1
-            if action != "transaction":
-                continue
-            out.append(self._transaction(s, e, micros))
+        if held is not None:
+            s = dict(zip(names, held))
+        else:  # first event of the session: its location, missing or not, is the login location
+            first = batch.iloc[0]
+            s = {n: 0 for n in _COUNTERS} | {
+                "longitude": _value(first["longitude"]), "latitude": _value(first["latitude"]), "amountSum": None,
+                "amountMin": None, "amountMax": None, "sessionStart": int(micros[0]), "lastTransaction": None, "latest": 0}
+        action, account = batch["action"].to_numpy(object), batch["accountType"].to_numpy(object)
+        txn = action == "transaction"
+        amount = np.where(txn, batch["amount"].to_numpy("float64", na_value=np.nan), np.nan)
+        to_recipient, new = self._recipients(batch["recipient"].where(txn & batch["recipient"].notna().to_numpy()))
+        counted = {"actionCount": np.ones(len(batch), bool), "transactionCount": txn, "amountCount": ~np.isnan(amount),
+                   "distinctRecipientCount": new}
+        counted |= {f"action{i}Count": action == a for i, a in enumerate(schemas.ACTIONS)}
+        counted |= {f"transactionFrom{label}Count": txn & (account == a)
+                    for label, a in zip(schemas.ACCOUNT_LABELS, schemas.ACCOUNT_TYPES)}
+        scans = {n: s[n] + np.cumsum(rows_) for n, rows_ in counted.items()}
+        before = {n: np.nan if s[n] is None else s[n] for n in ("amountSum", "amountMin", "amountMax")}
+        scans["amountSum"] = np.cumsum(np.r_[np.nan_to_num(before["amountSum"]), np.nan_to_num(amount)])[1:]
+        scans["amountSum"][scans["amountCount"] == 0] = np.nan
+        scans["amountMin"] = np.fmin.accumulate(np.r_[before["amountMin"], amount])[1:]
+        scans["amountMax"] = np.fmax.accumulate(np.r_[before["amountMax"], amount])[1:]
+        times = micros[txn].astype("datetime64[us]")
+        earlier = np.datetime64("NaT") if s["lastTransaction"] is None else np.datetime64(s["lastTransaction"], "us")
+
+        out = batch.loc[txn, ["fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp", "action", "amount", "accountType",
+                              "recipient", EVENT_TIME]].assign(**{n: scan[txn] for n, scan in scans.items()})
+        out = out.assign(
+            longitude=s["longitude"], latitude=s["latitude"], recipientTransactionCount=to_recipient[txn],
+            sessionStart=pd.Timestamp(s["sessionStart"], unit="us"), date=_dates(times),
+            previousTransactionDate=_dates(np.r_[earlier, times][:-1].astype("datetime64[us]")))
+        s.update({n: _value(scan[-1].item()) for n, scan in scans.items()})
+        s["latest"] = max(s["latest"], int(batch[_MILLIS].max()))
+        if len(times):
+            s["lastTransaction"] = int(micros[txn][-1])
         self.totals.update(tuple(s[n] for n in names))
         self.handle.registerTimer(s["latest"] + self.idle_millis)
-        yield pd.DataFrame(out, columns=[f.name for f in OUTPUT])
-
-    def _transaction(self, s, e, micros):
-        s["transactionCount"] += 1
-        account = e["accountType"]
-        if account in schemas.ACCOUNT_TYPES:
-            s[f"transactionFrom{schemas.ACCOUNT_LABELS[schemas.ACCOUNT_TYPES.index(account)]}Count"] += 1
-        amount = _value(e["amount"])
-        if amount is not None:
-            s["amountCount"] += 1
-            s["amountSum"] = amount if s["amountSum"] is None else s["amountSum"] + amount
-            s["amountMin"] = amount if s["amountMin"] is None else min(s["amountMin"], amount)
-            s["amountMax"] = amount if s["amountMax"] is None else max(s["amountMax"], amount)
-        to_recipient, recipient = 0, _value(e["recipient"])
-        if recipient is not None:
-            if self.recipients.containsKey((recipient,)):
-                to_recipient = self.recipients.getValue((recipient,))[0]
-            else:
-                s["distinctRecipientCount"] += 1
-            to_recipient += 1
-            self.recipients.updateValue((recipient,), (to_recipient,))
-        previous = s["lastTransaction"]
-        s["lastTransaction"] = micros
-        row = {c: _value(e[c]) for c in ("fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp", "action",
-                                         "amount", "accountType", "recipient", EVENT_TIME)}
-        row.update({n: s[n] for n in RUNNING if n in s})
-        row.update(
-            longitude=s["longitude"], latitude=s["latitude"], recipientTransactionCount=to_recipient,
-            sessionStart=pd.Timestamp(s["sessionStart"], unit="us"), date=pd.Timestamp(micros, unit="us").date(),
-            previousTransactionDate=None if previous is None else pd.Timestamp(previous, unit="us").date())
-        return row
+        yield out[[f.name for f in OUTPUT]]
+
+    def _recipients(self, recipients: pd.Series):
+        """Per event the transactions to its recipient so far, and whether the recipient is new. State is read once per recipient."""
+        so_far = recipients.groupby(recipients, sort=False).cumcount().reindex(recipients.index, fill_value=0).to_numpy("int64")
+        count, new = np.zeros(len(recipients), "int64"), np.zeros(len(recipients), bool)
+        for recipient, at in recipients.groupby(recipients, sort=False).indices.items():
+            known = self.recipients.getValue((recipient,))[0] if self.recipients.containsKey((recipient,)) else 0
+            count[at] = known + so_far[at] + 1
+            new[at[0]] = known == 0
+            self.recipients.updateValue((recipient,), (known + len(at),))
+        return count, new
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """Forget the session, unless events came after this timer was set (they set a later one)."""
@@ -161,6 +171,12 @@ class SessionProcessor(StatefulProcessor):
         pass
 
 
+def _dates(times: np.ndarray) -> np.ndarray:
+    """Dates as objects, None for missing times."""
+    days = times.astype("datetime64[D]").astype(object)
+    return np.array([None if d is None or d != d else d for d in days], dtype=object)
+
+
 def _value(v):
     """None for the missing values of pandas."""
     return None if v is None or v is pd.NaT or v != v else v
@@ -197,6 +213,22 @@ def online_features(tx: DataFrame, profile: DataFrame, recipients: DataFrame, cu
     return joined.select(*FT.feature_columns())
 
 
+def feature_batches(tx: DataFrame, tables, path: str, checkpoint: str, end: dt.date | None = None):
+    """Write the features of streamed transactions to ``path``, with the snapshots that exist when a micro-batch starts.
+
+    ``tables()`` gives (profile, recipients, customer_info) and is called for every micro-batch, so a snapshot written while the
+    stream runs is used from the next one on. The result is parquet, one folder ``batch=<number>`` each; a micro-batch
+    that is repeated after a failure replaces its own folder. Returns the started query, which ends with the input.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        profile, recipients, customer_info = tables()
+        found = online_features(batch, profile, recipients, customer_info, snapshot_list(profile, end))
+        found.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (tx.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).outputMode("append").start())
+
+
 def snapshot_list(profile: DataFrame, end: dt.date | None = None) -> list:
     """Distinct snapshot dates of a stored profile table."""
     dates = profile.select("profileDate").distinct()
