@@ -360,23 +360,20 @@ def vif_from_products(sums: np.ndarray, sx: np.ndarray, n: float, means: np.ndar
     scale = np.sqrt(np.diag(full))
     scale[scale == 0] = 1.0
     full = full / np.outer(scale, scale)
-    out = np.empty(k)
-    for i in range(k):
-        others = [j for j in range(k) if j != i]
-        g = full[np.ix_(others, others)]
-        values, vectors = np.linalg.eigh(g) if others else (np.zeros(0), np.zeros((0, 0)))
-        keep = values > tol * max(1.0, values.max(initial=0.0))
-
-        def unexplained(target):
-            """Share of a unit-norm column not explained by the others."""
-            b = vectors[:, keep].T @ full[others, target]
-            return full[target, target] - float(np.sum(b * b / values[keep]))
-
-        implicit = bool(others) and unexplained(k) < tol * 10
-        rest = unexplained(i) * scale[i] ** 2
-        total = centred[i, i] if implicit else raw[i, i]
-        out[i] = np.inf if rest <= tol * 10 * max(total, 0.0) or total <= 0 else total / rest
-    return out
+    # One factorisation serves all columns. Regressing column i on the others leaves 1 / inverse[i, i] of its norm, unless it lies
+    # in the span of the others, as it does where a direction without variation involves it.
+    values, vectors = np.linalg.eigh(full[:k, :k])
+    kept = values > tol * max(1.0, values.max(initial=0.0))
+    inverse = vectors[:, kept] / values[kept] @ vectors[:, kept].T
+    left = 1.0 / np.maximum(np.diag(inverse), np.finfo(float).tiny)
+    left[np.sum(vectors[:, ~kept] ** 2, axis=1) > tol * 10] = 0.0
+    # the share of the constant that the others do not explain: what no column does, and what only column i does
+    weights = inverse @ full[:k, k]
+    alone = full[k, k] - full[:k, k] @ weights + weights ** 2 * left
+    total = np.where((alone < tol * 10) & (k > 1), np.diag(centred), np.diag(raw))
+    rest = left * scale[:k] ** 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where((rest <= tol * 10 * np.maximum(total, 0.0)) | (total <= 0), np.inf, total / rest)
 
 
 def vif(df: DataFrame, columns) -> DataFrame:

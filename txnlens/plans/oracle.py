@@ -171,6 +171,8 @@ _CTES["feat_"] = ("SELECT t.fraudLabel, t.uniqueId, t.event_id, t.customerId, t.
                   + ", ".join(f"{EXPRS[n]} AS {n}" for n in schemas.FEATURES) + "\n" + _JOINED)
 _when = "\n".join(f"  WHEN {{d}} >= {_date(lo)} AND {{d}} < {_date(hi)} THEN '{n}'" for n, (lo, hi) in T.SETS.items())
 _CTES["featset_"] = f"SELECT * FROM (SELECT *, CASE {_when.format(d='day')} END AS dataset FROM feat_) WHERE dataset IS NOT NULL"
+_CTES["fval_"] = ("SELECT dataset, uniqueId, fraudLabel AS label, unnest([" + ", ".join(f"'{n}'" for n in schemas.FEATURES)
+                  + "]) AS feature, unnest([" + ", ".join(f"CAST({n} AS DOUBLE)" for n in schemas.FEATURES) + "]) AS value FROM featset_")
 _CTES["scored_"] = f"""
 SELECT * FROM (SELECT CASE {_when.format(d='day')} END AS dataset, uniqueId, event_id, fraudLabel AS y, amount, day, ts,
   (fraudLabel * 2500 + (event_id * 7919) % 7500) / CAST(10000 AS DOUBLE) AS score FROM tx_) WHERE dataset IS NOT NULL"""

@@ -470,11 +470,13 @@ def csi_wide(t):
     return rounded(MO.csi_wide(MO.csi_long(_lines(t), O.LINE_FEATURES, YEARS), O.LINE_FEATURES, YEARS))
 
 
-@register("csi_features")
+@register("csi_features", O.query(
+    "SELECT p.d1 AS dataset1, p.d2 AS dataset2, p.feature, round(coalesce(c.csi, 0), 6) AS csi FROM pe_ p LEFT JOIN csi_ c "
+    "ON c.dataset1 = p.d1 AND c.dataset2 = p.d2 AND c.feature = p.feature", O.csi_ctes("fval_", SET_NAMES, legacy=True)))
 def csi_features(t):
     """All 106 features between the three out-of-time sets, largest first."""
-    return MO.csi_long(t.feature_sets(), schemas.FEATURES, SET_NAMES, legacy=True).orderBy(
-        F.desc("csi"), "feature", "dataset1", "dataset2")
+    return rounded(MO.csi_long(t.feature_sets(), schemas.FEATURES, SET_NAMES, legacy=True).orderBy(
+        F.desc("csi"), "feature", "dataset1", "dataset2"))
 
 
 _BIN_SELECT = ("SELECT dataset, feature, bin, round(lower, 6) AS lower, round(upper, 6) AS upper, "
@@ -504,11 +506,12 @@ for _suffix, _legacy in (("", False), ("_legacy", True)):
             F.desc("adj_iv"))))
 
 
+# No SQL: standard deviations differ in their last bit between engines, and quantile edges fall on such values.
 @register("iv_features")
 def iv_features(t):
     """Information value of all 106 features per out-of-time set."""
     woe = MO.woe(t.feature_sets(), schemas.FEATURES, "fraudLabel", legacy=True)
-    return MO.iv(woe, schemas.FEATURES).orderBy(F.desc("adj_iv"), "feature", "dataset")
+    return rounded(MO.iv(woe, schemas.FEATURES).orderBy(F.desc("adj_iv"), "feature", "dataset"))
 
 
 _MATRIX_COLS = [*O.LINE_FEATURES, "o_totalprice"]
@@ -546,15 +549,40 @@ def corr_long(t):
     return rounded(MO.corr_long(_matrix_rows(t), _MATRIX_COLS))
 
 
-@register("corr_features")
+@register("corr_features", O.query(
+    "SELECT a.dataset, a.feature AS feature_1, b.feature AS feature_2, round(CASE WHEN var_pop(a.value) > 0 AND var_pop(b.value) > 0 "
+    "THEN corr(a.value, b.value) END, 6) AS correlation FROM fval_ a JOIN fval_ b ON a.dataset = b.dataset AND a.uniqueId = b.uniqueId "
+    "AND a.feature <> b.feature GROUP BY ALL"))
 def corr_features(t):
     """Correlations of all 106 features per out-of-time set."""
-    return MO.corr_long(t.feature_sets(), schemas.FEATURES)
-
-
-@register("vif")
+    return rounded(MO.corr_long(t.feature_sets(), schemas.FEATURES))
+
+
+def _vif_sql(columns):
+    """Pivot after pivot the matrix of second moments, columns scaled to norm one, is swept into its inverse."""
+    k = len(columns)
+    cells = [(i, j) for i in range(k) for j in range(k)]
+    ctes = ["s0_ AS (SELECT dataset, " + ", ".join(
+        f"sum({columns[i]} * {columns[j]}) / sqrt(sum({columns[i]} * {columns[i]}) * sum({columns[j]} * {columns[j]})) AS m{i}{j}"
+        for i, j in cells) + f" {_MATRIX_FROM})"]
+    for p in range(k):
+        swept = []
+        for i, j in cells:
+            if i == j == p:
+                cell = f"-1 / m{p}{p}"
+            elif p in (i, j):
+                cell = f"m{i}{j} / m{p}{p}"
+            else:
+                cell = f"m{i}{j} - m{i}{p} * m{p}{j} / m{p}{p}"
+            swept.append(f"{cell} AS m{i}{j}")
+        ctes.append(f"s{p + 1}_ AS (SELECT dataset, {', '.join(swept)} FROM s{p}_)")
+    return f"WITH {', '.join(ctes)} " + " UNION ALL ".join(
+        f"SELECT dataset, '{c}' AS feature, round(-m{i}{i}, 6) AS vif FROM s{k}_" for i, c in enumerate(columns))
+
+
+@register("vif", _vif_sql(_MATRIX_COLS))
 def vif(t):
-    return MO.vif(_matrix_rows(t), _MATRIX_COLS)
+    return rounded(MO.vif(_matrix_rows(t), _MATRIX_COLS))
 
 
 @register("vif_features")
