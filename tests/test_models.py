@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +30,62 @@ def test_last_round_equals_the_model(fitted):
     assert len(ML.loss_per_round(model, sets.where("dataset = 'train'"), "fraudLabel")) == 4
 
 
+def test_every_round_equals_the_trees_so_far(fitted):
+    sets, model = fitted
+    boosted, rows = model.stages[-1], model.stages[0].transform(sets.where("dataset = 'test'")).limit(50).collect()
+    trees = ML.flat_trees(boosted, sets.sparkSession)
+    got = trees.margins(np.array([r[ML.VECTOR].toArray() for r in rows]))
+    for r, margins in zip(rows, got):
+        each = [w * t.predict(r[ML.VECTOR]) for t, w in zip(boosted.trees, boosted.treeWeights)]
+        assert np.allclose(margins, np.cumsum(each), atol=1e-12)
+
+
+def test_eight_hundred_trees_in_one_pass():
+    rng, n = np.random.default_rng(2), 800
+    root = np.arange(n) * 7  # complete trees of depth two, nodes in level order
+    feature, threshold = rng.integers(0, 5, 7 * n), rng.random(7 * n)
+    children = np.repeat(np.arange(7 * n)[:, None], 2, axis=1)
+    for k in range(3):
+        children[root + k] = np.stack([root + 2 * k + 1, root + 2 * k + 2], axis=1)
+    value, x = rng.random(7 * n), rng.random((20, 5))
+    got = ML.Trees(root, feature, threshold, children, value, 2).margins(x)
+    for row, margins in zip(x, got):
+        total = 0.0
+        for t in range(n):
+            node = 7 * t
+            for _ in range(2):
+                node = children[node, int(row[feature[node]] > threshold[node])]
+            total += value[node]
+            assert abs(margins[t] - total) < 1e-9
+
+
+def test_round_metrics_of_classes_and_values(fitted):
+    sets, model = fitted
+    got = ML.round_metrics(model, sets, "fraudLabel", thresholds=(0.3,)).where("dataset = 'test' AND round = 4").first()
+    scored = ML.score(model, sets, label="fraudLabel").where("dataset = 'test'").toPandas()
+    assert abs(got["error@0.3"] - ((scored.score > 0.3) != scored.y).mean()) < 1e-9
+    assert abs(got["error"] - ((scored.score > 0.5) != scored.y).mean()) < 1e-9
+    value = ML.fit(sets.where("dataset = 'train'"), COLS, "amount", "GBTRegressor", {"n_estimators": 3, "max_depth": 2, "seed": 1})
+    last = ML.round_metrics(value, sets, "amount").where("dataset = 'test' AND round = 3").first()
+    out = ML.score(value, sets, keep=("dataset", "amount")).where("dataset = 'test'").toPandas()
+    assert abs(last["rmse"] - np.sqrt(((out.score - out.amount) ** 2).mean())) < 1e-9
+    assert abs(last["mae"] - (out.score - out.amount).abs().mean()) < 1e-9
+
+
+def test_trials_side_by_side_equal_those_in_turn(fitted):
+    sets, _ = fitted
+    train, valid = sets.where("dataset = 'train'"), sets.where("dataset = 'validation'")
+    settings = [{"max_depth": 1}, {"max_depth": 2}, {"max_depth": 2, "scale_pos_weight": 3.0}]
+    how = (train, valid, COLS, "fraudLabel", settings, "DecisionTreeClassifier")
+    one, side = ML.tune(*how), ML.tune(*how, n_jobs=3)
+    assert one == side and [s for s, _ in side[1]] == settings
+    for setting, value in one[1]:
+        model = ML.fit(train, COLS, "fraudLabel", "DecisionTreeClassifier", setting)
+        assert abs(EV.metric(ML.score(model, valid, keep=(), label="fraudLabel"), "log_loss") - value) < 1e-12
+    folded = [ML.tune(train, None, COLS, "fraudLabel", settings[:2], "DecisionTreeClassifier", folds=2, n_jobs=n) for n in (1, 4)]
+    assert folded[0] == folded[1]
+
+
 def test_saved_model_scores_alike(fitted, tmp_path):
     sets, model = fitted
     ML.save(model, str(tmp_path / "m"))

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import itertools
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import clustering as K
 from pyspark.ml import regression as G
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.operators import evaluate as EV
+from txnlens.sources.writers import materialize, scratch_root
 
 # Model kinds by name.
 KINDS = {
@@ -69,12 +75,15 @@ def estimator(kind: str, label: str | None, params: dict | None = None, n_featur
     return est
 
 
+def _weighted(train: DataFrame, label: str | None, params: dict | None) -> DataFrame:
+    weight = (params or {}).get("scale_pos_weight")
+    return train if weight is None else train.withColumn(WEIGHT, F.when(F.col(label) == 1, float(weight)).otherwise(1.0))
+
+
 def fit(train: DataFrame, features, label: str | None, kind: str = "GBTClassifier",
         params: dict | None = None) -> PipelineModel:
     """Assemble the feature vector by name and fit."""
-    weight = (params or {}).get("scale_pos_weight")
-    if weight is not None:
-        train = train.withColumn(WEIGHT, F.when(F.col(label) == 1, float(weight)).otherwise(1.0))
+    train = _weighted(train, label, params)
     assemble = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="keep")
     return Pipeline(stages=[assemble, estimator(kind, label, params, len(features))]).fit(train)
 
@@ -123,64 +132,125 @@ def draws(space: dict, n: int, seed: int) -> list:
     return [{name: one(spec) for name, spec in space.items()} for _ in range(n)]
 
 
-def trial(train, valid, features, label, kind, params, metric) -> float:
-    model = fit(train, features, label, kind, params)
+def assembled(df: DataFrame, features, label: str, keep=()) -> DataFrame:
+    """(keep..., label, features, vector): rows whose features are put together once for many trials. Stored."""
+    assemble = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="keep")
+    rows = assemble.transform(df.select(*dict.fromkeys([*keep, label, *features])))
+    return materialize(rows.select(*dict.fromkeys([*keep, label]), VECTOR), "assembled")
+
+
+def trial(train, valid, n_features: int, label: str, kind: str, params: dict, metric: str) -> float:
+    """The metric of one setting, fitted and scored on assembled rows."""
+    model = estimator(kind, label, params, n_features).fit(_weighted(train, label, params))
     return EV.metric(score(model, valid, keep=(), label=label), metric)
 
 
 def tune(train: DataFrame, valid: DataFrame | None, features, label: str, settings, kind: str = "GBTClassifier",
          base: dict | None = None, metric: str = "log_loss", folds: int | None = None, id_column: str = "uniqueId",
-         seed: int = 0) -> tuple:
+         seed: int = 0, n_jobs: int = 1) -> tuple:
     """Try each setting; returns (best setting, [(setting, metric value)]).
 
     Scores a fixed validation set, or with ``folds`` the mean over that many folds of the training set (rows
     are assigned to folds by a hash of their id, so a fold is the same in every trial). Metrics are of
-    probabilities.
+    probabilities. The rows are assembled and stored once; up to ``n_jobs`` trials run at a time, each as Spark jobs of its own,
+    and results come in the order of the settings whatever their number.
     """
-    results = []
-    for setting in settings:
-        params = {**(base or {}), **setting}
-        if folds:
-            fold = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(folds))
-            values = [trial(train.where(fold != i), train.where(fold == i), features, label, kind, params, metric)
-                      for i in range(folds)]
-            value = float(np.mean(values))
-        else:
-            value = trial(train, valid, features, label, kind, params, metric)
-        results.append((setting, value))
+    settings, features = list(settings), list(features)
+    if folds:
+        whole = assembled(train, features, label, [id_column])
+        fold = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(folds))
+        pairs = [(whole.where(fold != i), whole.where(fold == i)) for i in range(folds)]
+    else:
+        pairs = [(assembled(train, features, label), assembled(valid, features, label))]
+    with ThreadPoolExecutor(max(1, n_jobs)) as pool:
+        values = [[pool.submit(trial, *pair, len(features), label, kind, {**(base or {}), **setting}, metric) for pair in pairs] for setting in settings]
+        results = [(setting, float(np.mean([v.result() for v in of]))) for setting, of in zip(settings, values, strict=True)]
     pick = max if EV.HIGHER_IS_BETTER[metric] else min
     return pick(results, key=lambda r: r[1])[0], results
 
 
-def round_scores(model: PipelineModel, df: DataFrame, label: str, keep=("dataset",)) -> DataFrame:
-    """(keep..., y, round, score): the probability after each boosting round, from prefixes of the trees."""
-    boosted = model.stages[-1]
+@dataclass(frozen=True)
+class Trees:
+    """The trees of a boosted model as flat arrays, one entry per node; a leaf is its own child. As large as the model."""
+
+    roots: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    children: np.ndarray  # two columns: below or at the threshold, above it
+    value: np.ndarray     # of a leaf, times the weight of its tree
+    depth: int
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """One row per row of ``x``: the sum of the leaves reached up to each tree. All trees descend one level at a time."""
+        node, row = np.broadcast_to(self.roots, (len(x), len(self.roots))), np.arange(len(x))[:, None]
+        for _ in range(self.depth):
+            node = self.children[node, (x[row, self.feature[node]] > self.threshold[node]).astype(np.int8)]
+        return np.cumsum(self.value[node], axis=1)
+
+
+def flat_trees(boosted, spark: SparkSession) -> Trees:
+    """The trees of a boosted model, from the node table that it is saved as."""
+    path = f"{scratch_root(spark)}/txnlens/trees-{uuid.uuid4().hex}"
+    boosted.write().save(path)
+    rows = sorted(spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect(), key=lambda r: (r["treeID"], r["id"]))
+    at = {(r["treeID"], r["id"]): i for i, r in enumerate(rows)}
+    feature, threshold = np.zeros(len(rows), np.int64), np.full(len(rows), np.inf)
+    children, value = np.repeat(np.arange(len(rows))[:, None], 2, axis=1), np.zeros(len(rows))
+    level, deepest = {}, 0
+    for i, r in enumerate(rows):
+        value[i] = r["prediction"] * boosted.treeWeights[r["treeID"]]
+        depth = level.setdefault(i, 0)
+        if r["leftChild"] >= 0:
+            split = r["split"]
+            if split["numCategories"] >= 0:
+                raise ValueError("only splits of continuous features are supported")
+            feature[i], threshold[i] = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
+            children[i] = at[r["treeID"], r["leftChild"]], at[r["treeID"], r["rightChild"]]
+            level[children[i, 0]] = level[children[i, 1]] = depth + 1
+            deepest = max(deepest, depth + 1)
+    roots = np.array([at[t, 0] for t in range(len(boosted.treeWeights))], np.int64)
+    return Trees(roots, feature, threshold, children, value, deepest)
+
+
+def round_margins(model: PipelineModel, df: DataFrame, label: str, keep=("dataset",)) -> DataFrame:
+    """(keep..., y, margins): the margin of the ensemble after each boosting round, all rounds in one pass over the rows."""
     rows = df
     for stage in model.stages[:-1]:
         rows = stage.transform(rows)
-    rows = rows.select(*keep, F.col(label).cast("int").alias("y"), VECTOR)
-    names = []
-    for i, tree in enumerate(boosted.trees):
-        name = f"__t{i}"
-        rows = tree.copy().setFeaturesCol(VECTOR).setPredictionCol(name).transform(rows)
-        names.append(name)
-    weighted = F.array(*[F.col(n) * w for n, w in zip(names, boosted.treeWeights)])
-    # running margin of the ensemble, one array entry per round
-    margins = F.aggregate(
-        weighted, F.array().cast("array<double>"),
-        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    rounds = rows.select(*keep, "y", F.posexplode(margins).alias("i", "margin"))
-    return rounds.select(*keep, "y", (F.col("i") + 1).alias("round"),
-                         (1 / (1 + F.exp(-2 * F.col("margin")))).alias("score"))
-
-
-def round_metrics(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
-    """(dataset, round, auc, aucpr, logloss, error) after every boosting round."""
-    rounds = round_scores(model, df, label)
+    trees = df.sparkSession.sparkContext.broadcast(flat_trees(model.stages[-1], df.sparkSession))  # as large as the model
+
+    @F.pandas_udf("array<double>")
+    def margins(x: pd.Series) -> pd.Series:
+        out = [trees.value.margins(np.stack(x.iloc[i:i + 512].to_numpy())) for i in range(0, len(x), 512)]
+        return pd.Series([m for part in out for m in part], index=x.index, dtype=object)
+
+    kind = "double" if isinstance(model.stages[-1], GBTRegressionModel) else "int"
+    return rows.select(*keep, F.col(label).cast(kind).alias("y"), margins(vector_to_array(VECTOR)).alias("margins"))
+
+
+def round_scores(model: PipelineModel, df: DataFrame, label: str, keep=("dataset",)) -> DataFrame:
+    """(keep..., y, round, score): the probability after each boosting round, or a regression's value."""
+    return _by_round(model, round_margins(model, df, label, keep), keep)
+
+
+def _by_round(model: PipelineModel, margins: DataFrame, keep) -> DataFrame:
+    rounds = margins.select(*keep, "y", F.posexplode("margins").alias("i", "margin"))
+    linked = F.col("margin") if isinstance(model.stages[-1], GBTRegressionModel) else 1 / (1 + F.exp(-2 * F.col("margin")))
+    return rounds.select(*keep, "y", (F.col("i") + 1).alias("round"), linked.alias("score"))
+
+
+def round_metrics(model: PipelineModel, df: DataFrame, label: str, thresholds=()) -> DataFrame:
+    """(dataset, round, auc, aucpr, logloss, error) after every boosting round, and ``error@t`` for each of ``thresholds``; of a
+    regression (dataset, round, rmse, mae). The rows are scored once and stored."""
     by = ("dataset", "round")
+    rounds = _by_round(model, materialize(round_margins(model, df, label), "round-margins"), ("dataset",))
+    if isinstance(model.stages[-1], GBTRegressionModel):
+        off = F.col("score") - F.col("y")
+        return rounds.groupBy(*by).agg(F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae"))
     curves = EV.curve_metrics(rounds, by).select(*by, F.col("roc_auc").alias("auc"), F.col("pr_auc").alias("aucpr"))
-    wrong = F.avg(((F.col("score") > 0.5).cast("int") != F.col("y")).cast("double")).alias("error")
-    error = rounds.groupBy(*by).agg(wrong)
+    wrong = [F.avg(((F.col("score") > t).cast("int") != F.col("y")).cast("double")).alias(name)
+             for t, name in [(0.5, "error"), *((t, f"error@{t}") for t in thresholds)]]
+    error = rounds.groupBy(*by).agg(*wrong)
     loss = EV.losses(rounds, by).select(*by, F.col("log_loss").alias("logloss"))
     return curves.join(loss, [*by]).join(error, [*by])
 
