@@ -58,7 +58,7 @@ def model_kinds(t):
              "RandomForestClassifier": {"n_estimators": 3}, "RandomForestRegressor": {"n_estimators": 3},
              "KMeans": {"k": 2}}
     for kind in ML.KINDS:
-        m = ML.fit(sets.where("dataset = 'train'"), _few(), "fraudLabel", kind, {**small.get(kind, {})})
+        m = ML.fit(sets.where("dataset = 'train'"), T.MODEL_FEATURES, "fraudLabel", kind, {**small.get(kind, {})})
         parts.append(ML.score(m, sets).groupBy("dataset").agg(F.avg("score").alias("mean_score"))
                      .withColumn("kind", F.lit(kind)))
     out = parts[0]
@@ -69,12 +69,14 @@ def model_kinds(t):
 
 @register("model_tuning")
 def model_tuning(t):
-    """Grid search on the fixed validation set and random search by folds: (search, setting, log_loss)."""
+    """Grid search by folds and random search, 50 trials, on the fixed validation set: (search, setting, log_loss)."""
     sets = t.feature_sets()
     train, valid = sets.where("dataset = 'train'"), sets.where("dataset = 'validation'")
-    _, grid = ML.tune(train, valid, _few(), "fraudLabel", ML.grid({"max_depth": [2, 3]}), "DecisionTreeClassifier")
-    space = {"max_depth": {"function": "quniform", "params": {"low": 2, "high": 4, "q": 1}}}
-    _, random = ML.tune(train, None, _few(), "fraudLabel", ML.draws(space, 2, 33), "DecisionTreeClassifier", folds=2)
+    _, grid = ML.tune(train, None, T.MODEL_FEATURES, "fraudLabel", ML.grid({"max_depth": [2, 3, 4]}), "DecisionTreeClassifier",
+                      folds=2, n_jobs=4)
+    space = {"max_depth": {"function": "quniform", "params": {"low": 2, "high": 6, "q": 1}},
+             "min_child_weight": {"function": "choice", "params": {"options": [1, 5, 25, 100]}}}
+    _, random = ML.tune(train, valid, T.MODEL_FEATURES, "fraudLabel", ML.draws(space, 50, 33), "DecisionTreeClassifier", n_jobs=4)
     rows = [(n, str(s), float(v)) for n, found in (("grid", grid), ("random", random)) for s, v in found]
     return t.spark.createDataFrame(rows, "search string, setting string, log_loss double")
 
