@@ -305,11 +305,15 @@ def cross_products(df: DataFrame, columns) -> DataFrame:
 
 
 def gram(products: DataFrame, columns) -> DataFrame:
-    """Uncentred second moments: sum of x_i * x_j for every pair i <= j."""
+    """Uncentred second moments: sum of x_i * x_j for every pair i <= j, with those of the two columns as ``xx`` and ``yy``."""
     xy = (F.col("sxy") + F.col("mx") * F.col("sy") + F.col("my") * F.col("sx")
           + F.col("n") * F.col("mx") * F.col("my"))
     return products.select("dataset", _name(columns, "i").alias("feature_1"), _name(columns, "j").alias("feature_2"),
-                           F.col("n").cast("long").alias("n"), xy.alias("xy"))
+                           F.col("n").cast("long").alias("n"), xy.alias("xy"), _square("x").alias("xx"), _square("y").alias("yy"))
+
+
+def _square(x: str):
+    return F.col(f"s{x}{x}") + 2 * F.col(f"m{x}") * F.col(f"s{x}") + F.col("n") * F.col(f"m{x}") * F.col(f"m{x}")
 
 
 def correlations(products: DataFrame, columns) -> DataFrame:

@@ -31,12 +31,23 @@ def latest_scores(online: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def parse_features(latest: DataFrame, features=tuple(schemas.FEATURES)) -> DataFrame:
-    """Value string to one ``<feature>_df`` double per feature, by position; the score becomes ``score_df``."""
-    split = latest.withColumn("__values", F.split("featureValuesStr", SEPARATOR))
+    """Value string to one ``<feature>_df`` double per feature; the score becomes ``score_df``.
+
+    Values belong to the names that the event itself lists, in whatever order; a feature that it does not list is NULL. Events
+    that list ``features`` as they are, or no names, are read by position.
+    """
     keep = [c for c in latest.columns if c not in ("score", "featureNamesStr", "featureValuesStr")]
+    split = latest.withColumn("__values", F.split("featureValuesStr", SEPARATOR))
+    if "featureNamesStr" not in latest.columns:
+        values = [element(F.col("__values"), i + 1) for i in range(len(features))]
+    else:
+        in_order = F.coalesce(F.col("featureNamesStr") == F.lit(SEPARATOR.join(features)), F.lit(True))
+        split = split.withColumn("__names", F.when(~in_order, F.split("featureNamesStr", SEPARATOR)))
+        # get() of position 0 - 1 is NULL: a name that is not listed
+        values = [F.when(F.col("__names").isNull(), element(F.col("__values"), i + 1)).otherwise(
+            F.get(F.col("__values"), (F.array_position("__names", f) - 1).cast("int"))) for i, f in enumerate(features)]
     return split.select(*keep, F.col("score").alias("score_df"),
-                        *[try_double(element(F.col("__values"), i + 1)).alias(f"{f}_df")
-                          for i, f in enumerate(features)])
+                        *[try_double(v).alias(f"{f}_df") for f, v in zip(features, values)])
 
 
 def full_join(batch: DataFrame, online: DataFrame) -> DataFrame:

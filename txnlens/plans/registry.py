@@ -534,12 +534,8 @@ _MATRIX_FROM = ("FROM (SELECT CAST(year(l_shipdate) AS VARCHAR) AS dataset, * FR
 def gram_matrix(t):
     """Second moments, each divided by the norms of its two columns."""
     g = MO.gram(MO.cross_products(_matrix_rows(t), _MATRIX_COLS), _MATRIX_COLS)
-    own = g.where("feature_1 = feature_2")
-    left = own.select("dataset", "feature_1", F.col("xy").alias("n1"))
-    right = own.select("dataset", "feature_2", F.col("xy").alias("n2"))
-    out = g.join(left, ["dataset", "feature_1"]).join(right, ["dataset", "feature_2"])
-    return rounded(out.select("dataset", "feature_1", "feature_2", "n",
-                              F.try_divide("xy", F.sqrt(F.col("n1") * F.col("n2"))).alias("cosine")))
+    return rounded(g.select("dataset", "feature_1", "feature_2", "n",
+                            F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("cosine")))
 
 
 @register("corr_long", " UNION ALL ".join(

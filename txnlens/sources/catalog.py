@@ -34,9 +34,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(_checked(name))
 
 
-def create_table(spark: SparkSession, name: str, schema) -> None:
-    """An empty table with the given layout."""
-    spark.createDataFrame([], schema).write.saveAsTable(_checked(name))
+def create_table(spark: SparkSession, name: str, schema, partition_by=(), cluster_by=()) -> None:
+    """An empty table with the given columns, partitions and clustering.
+
+    ``cluster_by`` is kept as a property of the table; ``writers.write_table`` sorts what it appends by it.
+    """
+    writer = spark.createDataFrame([], schema).write.format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(_checked(name))
+    if cluster_by:
+        columns = {f.name for f in spark.table(name).schema}
+        if not set(cluster_by) <= columns:
+            raise ValueError(f"cluster_by must name columns of {name}, not {sorted(set(cluster_by) - columns)}")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{writers.CLUSTERING}' = '{','.join(cluster_by)}')")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

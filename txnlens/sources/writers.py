@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Write dispositions and export file suffixes.
 DISPOSITIONS = {"TRUNCATE": "overwrite", "APPEND": "append", "EMPTY": "errorifexists"}
+CLUSTERING = "txnlens.clusterBy"
 SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
 
 
@@ -19,6 +20,12 @@ def cluster_rows(df: DataFrame, cluster_by) -> DataFrame:
     return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
 
 
+def clustering(spark: SparkSession, table: str) -> list[str]:
+    """The columns a table was declared to be clustered by."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == CLUSTERING).first()
+    return found["value"].split(",") if found else []
+
+
 def write_table(df: DataFrame, table: str, disposition: str = "EMPTY", partition_by=None, cluster_by=None,
                 relax_schema: bool = False, replace_partitions: bool = False) -> None:
     """Save as a managed table.
@@ -35,7 +42,8 @@ def write_table(df: DataFrame, table: str, disposition: str = "EMPTY", partition
     if disposition == "EMPTY" and exists:
         if not spark.table(table).isEmpty():
             raise ValueError(f"table {table} already has rows")
-        mode = "overwrite"
+        # a table made for these columns keeps its layout
+        mode = "append" if set(spark.table(table).columns) == set(df.columns) and not partition_by else "overwrite"
     if disposition == "APPEND" and exists:
         have = spark.table(table)
         if set(have.columns) != set(df.columns):
@@ -44,6 +52,8 @@ def write_table(df: DataFrame, table: str, disposition: str = "EMPTY", partition
             add_columns(spark, table, df)
             have = spark.table(table)
         df = align(df, have)
+    if exists and not cluster_by:
+        cluster_by = clustering(spark, table)
     if cluster_by:
         df = cluster_rows(df, [*(partition_by or []), *cluster_by])
     if disposition == "TRUNCATE" and exists and replace_partitions:
