@@ -25,6 +25,7 @@ SHARE = 0.9  # of the content nodes' text that the article holds
 # Elements by their role in the markup.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "select", "canvas",
        "audio", "video", "xmp", "noframes", "noembed"}
+LITTLE, LEAST_ARTICLE = 0.1, 200  # share of the content outside named elements, and characters of content, to take a name back
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -47,10 +48,10 @@ _PUNCTUATION = re.compile(r"[.,;:!?¡¿…、。，？！]")
 
 
 class Element:
-    __slots__ = ("name", "parent", "path", "never", "depth")
+    __slots__ = ("name", "parent", "path", "never", "hint", "depth")
 
-    def __init__(self, name, parent, label, never):
-        self.name, self.parent, self.never = name, parent, never or (parent is not None and parent.never)
+    def __init__(self, name, parent, label, never, hint=False):
+        self.name, self.parent, self.never, self.hint = name, parent, never or (parent is not None and parent.never), hint
         self.path = (parent.path if parent else "") + ">" + label
         self.depth = parent.depth + 1 if parent else 0
 
@@ -107,9 +108,9 @@ def nodes(html: str):
         given = attributes(m.group(3) or "")
         mark = f"{given.get('class', '')} {given.get('id', '')}".strip()
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
-        never = name in NEVER or given.get("role", "").lower() in ROLES or hidden or (
-            name not in ("body", "html", "article", "main") and aside(mark))
-        here = Element(name, here, name + ("." + mark if mark else ""), never)
+        never = name in NEVER or given.get("role", "").lower() in ROLES or hidden
+        hint = name not in ("body", "html", "article", "main") and aside(mark)
+        here = Element(name, here, name + ("." + mark if mark else ""), never, hint)
     return out
 
 
@@ -132,15 +133,8 @@ def content_nodes(texts: list[str], paths: list[str]) -> np.ndarray:
     return fused >= min(SPREAD * fused.std(), PEAK * fused.max()) if fused.max(initial=0) > 0 else size > 0
 
 
-def main_text(html: str | None) -> str:
-    """The article of a page: blocks in page order joined by newlines, white space inside a block turned into one space."""
-    if not html:
-        return ""
-    found = [(e, t, b) for e, t, b in nodes(html) if not e.never]
-    solid = [(e, t) for e, t, _ in found if t.strip()]
-    if not solid:
-        return ""
-    chosen = content_nodes([t for _, t in solid], [e.path for e, _ in solid])
+def weights(solid, chosen) -> tuple[dict, int]:
+    """({id: [element, characters of content nodes in it]}, all characters of content nodes)."""
     weight: dict[int, list] = {}
     total = 0
     for (element, text), take in zip(solid, chosen, strict=True):
@@ -150,6 +144,50 @@ def main_text(html: str | None) -> str:
             while element is not None:
                 weight.setdefault(id(element), [element, 0])[1] += size
                 element = element.parent
+    return weight, total
+
+
+def hinted(element) -> bool:
+    """Whether the element or one around it is named like a part of a page that is not the article."""
+    while element is not None:
+        if element.hint:
+            return True
+        element = element.parent
+    return False
+
+
+def release(solid) -> None:
+    """Take back hints that the ratios contradict.
+
+    Names only say what an element is called. Where next to no content is left outside the elements so named, the one among them
+    with the most content is a wrapper of the article; its name is ignored, those inside it are looked at again.
+    """
+    chosen = content_nodes([t for _, t in solid], [e.path for e, _ in solid])
+    weight, total = weights(solid, chosen)
+    while True:
+        outside = sum(len(t.strip()) for (e, t), take in zip(solid, chosen, strict=True) if take and not hinted(e))
+        named = [(w, -e.depth, e) for e, w in weight.values() if e.hint]
+        if not named or outside >= LITTLE * total:
+            return
+        size, _, wrapper = max(named, key=lambda x: x[:2])
+        if size < LEAST_ARTICLE:
+            return
+        wrapper.hint = False
+
+
+def main_text(html: str | None) -> str:
+    """The article of a page: blocks in page order joined by newlines, white space inside a block turned into one space."""
+    if not html:
+        return ""
+    found = [(e, t, b) for e, t, b in nodes(html) if not e.never]
+    every = [(e, t) for e, t, _ in found if t.strip()]
+    if every:
+        release(every)
+    found = [(e, t, b) for e, t, b in found if not hinted(e)]
+    solid = [(e, t) for e, t, _ in found if t.strip()]
+    if not solid:
+        return ""
+    weight, total = weights(solid, content_nodes([t for _, t in solid], [e.path for e, _ in solid]))
     article = max((e for e, w in weight.values() if w >= SHARE * total and e.name not in INLINE and e.name != "p"),
                   key=lambda e: e.depth)
     inside: dict[int, bool] = {id(article): True}
