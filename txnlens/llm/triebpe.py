@@ -23,9 +23,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 from txnlens.llm.bpe import _NOT_LATIN, PATTERN, Encoder, merge
 from txnlens.llm.packing import byte_alphabet
 
-NODES = 700_000  # nodes, words and checked neighbours that a worker keeps; it starts anew beyond
-WORDS = 350_000
-CHECKED = 700_000
+NODES = 400_000  # nodes, words and checked neighbours that a worker keeps; it starts anew beyond
+WORDS = 200_000
+CHECKED = 400_000
 LONGEST = 64     # bytes of words kept; longer ones take a branch of their own that is dropped
 SLICE = 2_000_000  # characters of text held as pre-tokens at a time
 _NEVER = 1 << 62
