@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import same_rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from txnlens import schemas
@@ -128,3 +129,71 @@ def test_score_events_round_trip(tables, tmp_path):
     joined = PV.full_join(tables.features().withColumn("score", F.lit(0.0)), parsed)
     assert joined.count() == tables.features().count()
     assert PV.feature_mismatch(joined, T.MODEL_FEATURES, 0.0).where("mismatch_rate > 0").count() == 0
+
+
+class FakeState:
+    """A value or map state that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, []
+
+    def get(self):
+        self.calls.append("get")
+        return self.held.get(())
+
+    def update(self, value):
+        self.calls.append("update")
+        self.held[()] = value
+
+    def getValue(self, key):
+        self.calls.append("getValue")
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls.append("updateValue")
+        self.held[key] = value
+
+
+class FakeHandle:
+    def __init__(self):
+        self.timers, self.totals, self.recipients = [], FakeState(), FakeState()
+
+    def getValueState(self, name, schema):
+        return self.totals
+
+    def getMapState(self, name, key, value):
+        return self.recipients
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_a_session_costs_few_calls_of_the_state():
+    event = Row(*[f.name for f in schemas.EVENTS], ON.EVENT_TIME, ON._MILLIS)
+
+    def ev(uid, minute, action, amount=None, recipient=None):
+        at = None if minute is None else dt.datetime(2024, 1, 1, 0, minute)
+        values = {"fraudLabel": 0, "uniqueId": uid, "customerId": "c", "sessionId": "s", "timestamp": at, "action": action,
+                  "longitude": 1.0, "latitude": float("nan"), "amount": amount, "accountType": "checking" if amount else None,
+                  "recipient": recipient, ON.EVENT_TIME: at, ON._MILLIS: minute and minute * 60_000}
+        return event(*[values[n] for n in event])
+
+    handle, processor = FakeHandle(), ON.SessionProcessor()
+    processor.init(handle)
+    out = list(processor.handleInputRows(("s",), iter([
+        ev("4", None, "transaction", 1.0, "b"), ev("3", 3, "transaction", 5.0, "a"), ev("2", 2, "transaction", 2.0, "a"),
+        ev("1", 1, "login")]), None))
+    assert [(r.uniqueId, r.actionCount, r.amountSum, r.recipientTransactionCount, r.distinctRecipientCount) for r in out] == [
+        ("2", 2, 2.0, 1, 1), ("3", 3, 7.0, 2, 1), ("4", 4, 8.0, 1, 2)]
+    assert [r.previousTransactionDate for r in out] == [None, dt.date(2024, 1, 1), dt.date(2024, 1, 1)]
+    assert out[0].latitude is None and out[2].date is None and handle.timers == [3 * 60_000 + processor.idle_millis]
+    assert handle.totals.calls == ["get", "update"] and handle.recipients.calls == ["updateValue"] * 2
+    out = list(processor.handleInputRows(("s",), iter([ev("5", 5, "transaction", float("nan"), "a")]), None))
+    assert [(r.amount, r.amountSum, r.amountCount, r.recipientTransactionCount, r.transactionFromCheckingCount) for r in out] == [
+        (None, 8.0, 3, 3, 4)]
+    assert handle.recipients.calls[2:] == ["getValue", "updateValue"]
+
+
+def test_publish_tells_how_many_files(tables, tmp_path):
+    assert ON.publish(tables.events(), f"{tmp_path}/in", chunks=3, files_per_chunk=2) == 6
+    assert len(list((tmp_path / "in").glob("*.json"))) <= 6

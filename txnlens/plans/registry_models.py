@@ -284,9 +284,9 @@ def _run_stream(t) -> DataFrame:
     """Replay the events, compute features online, and return what the sink wrote."""
     ON.use_rocksdb(t.spark)
     path = _scratch(t, "stream")
-    ON.publish(t.events(), f"{path}/in")
+    files = ON.publish(t.events(), f"{path}/in")
     # a time slice is half a month, so the watermark allows for that much disorder between files
-    stream = ON.with_event_time(ON.replay(t.spark, f"{path}/in", 4), "20 days")
+    stream = ON.with_event_time(ON.replay(t.spark, f"{path}/in", max(4, -(-files // ON.BATCHES))), "20 days")
     tx = ON.online_transactions(stream)
     features = ON.online_features(tx, t.profile(), t.recipients(), t.customer_info(),
                                   ON.snapshot_list(t.profile(), T.PROFILE_END))

@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -28,6 +26,7 @@ EVENT_TIME = "eventTime"
 _MILLIS = "eventMillis"
 SLICE_ROWS = 5_000_000  # events of a replayed time slice, and of a file in it
 FILE_ROWS = 100_000
+BATCHES = 16  # micro-batches of a replay, about: each one joins the whole profile, so they must not grow with the events
 _DATED = {"sessionStart": T.TimestampNTZType(), "previousTransactionDate": T.DateType(),
           "amountSum": T.DoubleType(), "amountMin": T.DoubleType(), "amountMax": T.DoubleType()}
 
@@ -62,8 +61,8 @@ def replay(spark: SparkSession, path: str, files_per_trigger: int = 1, schema: T
 
 
 def publish(events: DataFrame, path: str, chunks: int | None = None, files_per_chunk: int | None = None,
-            time_column: str = "timestamp") -> None:
-    """Write events as NDJSON for a replay in order: one time slice after the other.
+            time_column: str = "timestamp") -> int:
+    """Write events as NDJSON for a replay in order: one time slice after the other. Returns the number of files, at most.
 
     Within a slice a session stays in one file, so its events arrive in order however the files are spread
     over micro-batches. Slices are cut at quantiles of the event time; their number and that of their files follow the
@@ -84,6 +83,7 @@ def publish(events: DataFrame, path: str, chunks: int | None = None, files_per_c
             part = part.where(seconds <= hi)
         (part.repartition(files_per_chunk, "sessionId").sortWithinPartitions(time_column)
          .write.mode("append").json(path))
+    return (len(cuts) - 1) * files_per_chunk
 
 
 def with_event_time(stream: DataFrame, delay: str) -> DataFrame:
@@ -92,7 +92,10 @@ def with_event_time(stream: DataFrame, delay: str) -> DataFrame:
 
 
 class SessionProcessor(StatefulProcessor):
-    """Running aggregates of one session. Recipients are a keyed map, so a lookup does not load them all."""
+    """Running aggregates of one session. Recipients are a keyed map, so a lookup does not load them all.
+
+    Most sessions have a few events, so events are taken as rows: a frame for each session would cost far more than its events.
+    """
 
     idle_millis = 24 * 3600 * 1000
 
@@ -102,61 +105,55 @@ class SessionProcessor(StatefulProcessor):
         self.recipients = handle.getMapState("recipients", "recipient string", "n long")
 
     def handleInputRows(self, key, rows, timerValues):
-        """Running aggregates of a session's new events as scans over whole columns, each begun at what the state holds."""
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["timestamp", "uniqueId"], kind="stable", ignore_index=True)
+        """A row per transaction among a session's new events, in order, begun at what the state holds."""
+        events = sorted(rows, key=_place)
         names = [f.name for f in _STATE]
-        micros = batch["timestamp"].to_numpy("datetime64[us]").astype("int64")
         held = self.totals.get()
         if held is not None:
             s = dict(zip(names, held))
         else:  # first event of the session: its location, missing or not, is the login location
-            first = batch.iloc[0]
+            first = events[0]
             s = {n: 0 for n in _COUNTERS} | {
                 "longitude": _value(first["longitude"]), "latitude": _value(first["latitude"]), "amountSum": None,
-                "amountMin": None, "amountMax": None, "sessionStart": int(micros[0]), "lastTransaction": None, "latest": 0}
-        action, account = batch["action"].to_numpy(object), batch["accountType"].to_numpy(object)
-        txn = action == "transaction"
-        amount = np.where(txn, batch["amount"].to_numpy("float64", na_value=np.nan), np.nan)
-        to_recipient, new = self._recipients(batch["recipient"].where(txn & batch["recipient"].notna().to_numpy()))
-        counted = {"actionCount": np.ones(len(batch), bool), "transactionCount": txn, "amountCount": ~np.isnan(amount),
-                   "distinctRecipientCount": new}
-        counted |= {f"action{i}Count": action == a for i, a in enumerate(schemas.ACTIONS)}
-        counted |= {f"transactionFrom{label}Count": txn & (account == a)
-                    for label, a in zip(schemas.ACCOUNT_LABELS, schemas.ACCOUNT_TYPES)}
-        scans = {n: s[n] + np.cumsum(rows_) for n, rows_ in counted.items()}
-        before = {n: np.nan if s[n] is None else s[n] for n in ("amountSum", "amountMin", "amountMax")}
-        scans["amountSum"] = np.cumsum(np.r_[np.nan_to_num(before["amountSum"]), np.nan_to_num(amount)])[1:]
-        scans["amountSum"][scans["amountCount"] == 0] = np.nan
-        scans["amountMin"] = np.fmin.accumulate(np.r_[before["amountMin"], amount])[1:]
-        scans["amountMax"] = np.fmax.accumulate(np.r_[before["amountMax"], amount])[1:]
-        times = micros[txn].astype("datetime64[us]")
-        earlier = np.datetime64("NaT") if s["lastTransaction"] is None else np.datetime64(s["lastTransaction"], "us")
-
-        out = batch.loc[txn, ["fraudLabel", "uniqueId", "customerId", "sessionId", "timestamp", "action", "amount", "accountType",
-                              "recipient", EVENT_TIME]].assign(**{n: scan[txn] for n, scan in scans.items()})
-        out = out.assign(
-            longitude=s["longitude"], latitude=s["latitude"], recipientTransactionCount=to_recipient[txn],
-            sessionStart=pd.Timestamp(s["sessionStart"], unit="us"), date=_dates(times),
-            previousTransactionDate=_dates(np.r_[earlier, times][:-1].astype("datetime64[us]")))
-        s.update({n: _value(scan[-1].item()) for n, scan in scans.items()})
-        s["latest"] = max(s["latest"], int(batch[_MILLIS].max()))
-        if len(times):
-            s["lastTransaction"] = int(micros[txn][-1])
+                "amountMin": None, "amountMax": None, "sessionStart": _micros(first["timestamp"]), "lastTransaction": None, "latest": 0}
+        start, counts, out = _time(s["sessionStart"]), {}, []
+        for e in events:
+            s["actionCount"] += 1
+            if e["action"] in _ACTION_COUNTERS:
+                s[_ACTION_COUNTERS[e["action"]]] += 1
+            if e[_MILLIS] is not None:
+                s["latest"] = max(s["latest"], e[_MILLIS])
+            if e["action"] == "transaction":
+                out.append(self._transaction(e, s, start, counts, held is not None))
+        for recipient, n in counts.items():
+            self.recipients.updateValue((recipient,), (n,))
         self.totals.update(tuple(s[n] for n in names))
-        self.handle.registerTimer(s["latest"] + self.idle_millis)
-        yield out[[f.name for f in OUTPUT]]
-
-    def _recipients(self, recipients: pd.Series):
-        """Per event the transactions to its recipient so far, and whether the recipient is new. State is read once per recipient."""
-        so_far = recipients.groupby(recipients, sort=False).cumcount().reindex(recipients.index, fill_value=0).to_numpy("int64")
-        count, new = np.zeros(len(recipients), "int64"), np.zeros(len(recipients), bool)
-        for recipient, at in recipients.groupby(recipients, sort=False).indices.items():
-            known = self.recipients.getValue((recipient,))[0] if self.recipients.containsKey((recipient,)) else 0
-            count[at] = known + so_far[at] + 1
-            new[at[0]] = known == 0
-            self.recipients.updateValue((recipient,), (known + len(at),))
-        return count, new
+        if s["latest"]:
+            self.handle.registerTimer(s["latest"] + self.idle_millis)
+        return iter(out)
+
+    def _transaction(self, e: Row, s: dict, start: dt.datetime | None, counts: dict, known: bool) -> Row:
+        """Count a transaction in ``s`` and in ``counts`` per recipient, which is looked up once where the session is known."""
+        amount, recipient, at = _value(e["amount"]), e["recipient"], e["timestamp"]
+        s["transactionCount"] += 1
+        if e["accountType"] in _ACCOUNT_COUNTERS:
+            s[_ACCOUNT_COUNTERS[e["accountType"]]] += 1
+        if amount is not None:
+            s["amountCount"] += 1
+            s["amountSum"] = (s["amountSum"] or 0.0) + amount
+            s["amountMin"] = amount if s["amountMin"] is None else min(s["amountMin"], amount)
+            s["amountMax"] = amount if s["amountMax"] is None else max(s["amountMax"], amount)
+        if recipient is not None:
+            if recipient not in counts:
+                past = self.recipients.getValue((recipient,)) if known else None
+                counts[recipient] = past[0] if past else 0
+            counts[recipient] += 1
+            s["distinctRecipientCount"] += counts[recipient] == 1
+        before, s["lastTransaction"] = _time(s["lastTransaction"]), _micros(at)
+        own = {"amount": amount, "longitude": s["longitude"], "latitude": s["latitude"], "date": at and at.date(), "sessionStart": start,
+               "recipientTransactionCount": 0 if recipient is None else counts[recipient],
+               "previousTransactionDate": before and before.date()}
+        return _OUT(*[own[n] if n in own else s[n] if n in s else e[n] for n in _OUT])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """Forget the session, unless events came after this timer was set (they set a later one)."""
@@ -165,21 +162,35 @@ class SessionProcessor(StatefulProcessor):
                 expiredTimerInfo.getExpiryTimeInMs()):
             self.totals.clear()
             self.recipients.clear()
-        yield pd.DataFrame([], columns=[f.name for f in OUTPUT])
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _dates(times: np.ndarray) -> np.ndarray:
-    """Dates as objects, None for missing times."""
-    days = times.astype("datetime64[D]").astype(object)
-    return np.array([None if d is None or d != d else d for d in days], dtype=object)
+_OUT = Row(*[f.name for f in OUTPUT])
+_ACTION_COUNTERS = {a: f"action{i}Count" for i, a in enumerate(schemas.ACTIONS)}
+_ACCOUNT_COUNTERS = {a: f"transactionFrom{label}Count" for label, a in zip(schemas.ACCOUNT_LABELS, schemas.ACCOUNT_TYPES)}
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _place(event: Row) -> tuple:
+    """An event's place in its session: by time, then by id, missing ones last."""
+    at, name = event["timestamp"], event["uniqueId"]
+    return at is None, at or _EPOCH, name is None, name or ""
+
+
+def _micros(at: dt.datetime | None) -> int | None:
+    return None if at is None else (at - _EPOCH) // dt.timedelta(microseconds=1)
+
+
+def _time(micros: int | None) -> dt.datetime | None:
+    return None if micros is None else _EPOCH + dt.timedelta(microseconds=micros)
 
 
 def _value(v):
-    """None for the missing values of pandas."""
-    return None if v is None or v is pd.NaT or v != v else v
+    """None for NaN."""
+    return None if v is None or v != v else v
 
 
 def online_transactions(stream: DataFrame, idle_hours: int | None = None) -> DataFrame:
@@ -191,9 +202,9 @@ def online_transactions(stream: DataFrame, idle_hours: int | None = None) -> Dat
     processor = SessionProcessor()
     if idle_hours is not None:
         processor.idle_millis = idle_hours * 3600 * 1000
-    # pandas sees zoned times as local ones; watermark and timers count from the epoch
+    # Python sees zoned times as local ones; watermark and timers count from the epoch
     timed = stream.withColumn(_MILLIS, F.unix_millis(EVENT_TIME))
-    return timed.groupBy("sessionId").transformWithStateInPandas(
+    return timed.groupBy("sessionId").transformWithState(
         processor, outputStructType=OUTPUT, outputMode="append", timeMode="eventTime")
 
 
