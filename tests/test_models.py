@@ -167,3 +167,38 @@ def test_hash_sample_is_repeatable(tables):
     a = [r[0] for r in EX.hash_sample(tables.scored(), 7, seed=1).select("uniqueId").collect()]
     b = [r[0] for r in EX.hash_sample(tables.scored().repartition(5), 7, seed=1).select("uniqueId").collect()]
     assert a == b and len(a) == 7
+
+
+def test_boosted_explanations_equal_those_of_any_model(fitted, monkeypatch):
+    """Scored where the rows are, over the features read, or by MLlib over all: the same importances and Shapley values."""
+    sets, model = fitted
+    some = sets.where("dataset <> 'train'").withColumn("latitude", F.when(F.col("hour") > 2, F.col("latitude")).otherwise(float("nan")))
+    columns = [*COLS, "secondsToTransaction"]
+    model = ML.fit(sets.where("dataset = 'train'"), columns, "fraudLabel", "GBTClassifier", {"n_estimators": 3, "max_depth": 2, "seed": 1})
+
+    def explained():
+        importance = EX.permutation_importance(model, some, columns, "fraudLabel", 2, ("roc_auc", "average_precision", "neg_log_loss"))
+        values = EX.shapley_values(model, some, columns, permutations=2, seed=4)
+        return ({(r["dataset"], r["feature"]): r[2:] for r in importance.collect()},
+                {(r["dataset"], r["id"], r["feature"]): r["phi"] for r in values.collect()})
+
+    boosted = EX._boosted(model, columns, sets.sparkSession)
+    assert 0 < len(boosted.at) < len(columns)
+    got = explained()
+    monkeypatch.setattr(EX, "_boosted", lambda *a: None)
+    want = explained()
+    for a, b in zip(got, want, strict=True):
+        assert a.keys() == b.keys()
+        assert all(np.allclose(a[k], b[k], atol=1e-7) for k in a)
+
+
+def test_only_scores_of_distinct_values_leave_a_task(fitted):
+    """What the counting of permuted scores stores does not grow with the rows."""
+    sets, model = fitted
+    boosted = EX._boosted(model, COLS, sets.sparkSession)
+    rows = sets.select("dataset", F.col("uniqueId").alias("__id"), F.col("fraudLabel").cast("int").alias("__y"),
+                       EX._feature_array([COLS[i] for i in boosted.at])).withColumn("rep", F.lit(0).cast("long"))
+    once = EX._counted_scores(boosted, rows, [])
+    many = EX._counted_scores(boosted, rows.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(50)))), [])
+    assert once.count() == many.count() < sets.count()
+    assert many.agg(F.sum("all")).first()[0] == 50 * sets.count()

@@ -33,12 +33,16 @@ def score_groups(scored: DataFrame, by=BY) -> DataFrame:
 
 def cumulative(scored: DataFrame, by=BY, hot_rows: int = R.HOT_ROWS) -> DataFrame:
     """Per distinct score, from the highest down: tp and fp at that threshold, and class totals P and N."""
-    groups = score_groups(scored, by).withColumn("__down", -F.col("score"))
+    # the number of distinct scores is estimated on the rows, so that the grouping runs once
+    return cumulative_groups(score_groups(scored, by), by, hot_rows, scored, F.approx_count_distinct("score"))
+
+
+def cumulative_groups(groups: DataFrame, by=BY, hot_rows: int = R.HOT_ROWS, counted=None, size=None) -> DataFrame:
+    """The same from (by..., score, pos, neg), one row per distinct score."""
     sums = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
     totals = {"P": ("sum", F.col("pos")), "N": ("sum", F.col("neg"))}
-    # the number of distinct scores is estimated on the rows, so that the grouping runs once
-    return R.prefix_sums(groups, by, "__down", sums, totals, hot_rows, scored,
-                         F.approx_count_distinct("score")).drop("__down")
+    return R.prefix_sums(groups.withColumn("__down", -F.col("score")), by, "__down", sums, totals, hot_rows, counted,
+                         size).drop("__down")
 
 
 def _precision(tp, fp):
@@ -141,6 +145,13 @@ def losses(scored: DataFrame, by=BY) -> DataFrame:
                                    F.avg(F.pow(F.col("score") - F.col("y"), 2)).alias("brier_loss"))
 
 
+def group_log_loss(groups: DataFrame, by=BY) -> DataFrame:
+    """Log loss from (by..., score, ones, all): rows of class 1 and all rows of each distinct score."""
+    p = F.least(F.greatest(F.col("score"), F.lit(EPSILON)), F.lit(1.0 - EPSILON))
+    total = F.sum(F.col("ones") * F.ln(p) + (F.col("all") - F.col("ones")) * F.ln(1 - p))
+    return groups.groupBy(*by).agg((-total / F.sum("all")).alias("log_loss"))
+
+
 # Metric titles of the table and the columns they come from.
 METRIC_TITLES = {
     "ROC AUC": "roc_auc",

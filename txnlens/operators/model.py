@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -187,6 +187,32 @@ class Trees:
             node = self.children[node, (x[row, self.feature[node]] > self.threshold[node]).astype(np.int8)]
         return np.cumsum(self.value[node], axis=1)
 
+    def reads(self) -> list:
+        """Per feature that any tree reads, in rising order: (feature, the trees that read it)."""
+        below: dict = {}
+        for tree, root in enumerate(self.roots.tolist()):
+            waiting = [root]
+            while waiting:
+                node = waiting.pop()
+                if self.children[node, 0] != node:
+                    below.setdefault(int(self.feature[node]), set()).add(tree)
+                    waiting.extend(self.children[node].tolist())
+        return [(f, sorted(below[f])) for f in sorted(below)]
+
+    def leaves(self, x: np.ndarray, trees) -> np.ndarray:
+        """The leaves that the rows of ``x`` reach in ``trees``, one column each. As in MLlib, a missing value goes right."""
+        out, row, left, right = np.empty((len(x), len(trees))), np.arange(len(x)), *self.children.T.copy()
+        for column, tree in enumerate(trees):
+            node = np.full(len(x), self.roots[tree])
+            for _ in range(self.depth):
+                node = np.where(x[row, self.feature[node]] <= self.threshold[node], left[node], right[node])
+            out[:, column] = self.value[node]
+        return out
+
+    def narrowed(self, features) -> Trees:
+        """The same trees over rows that hold only ``features``, in rising order; they must be all that the trees read."""
+        return replace(self, feature=np.minimum(np.searchsorted(features, self.feature), max(0, len(features) - 1)))
+
 
 def flat_trees(boosted, spark: SparkSession) -> Trees:
     """The trees of a boosted model, from the node table that it is saved as."""
