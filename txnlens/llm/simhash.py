@@ -4,7 +4,8 @@ Two fingerprints that differ in at most ``bits`` bits share at least ``8 - bits`
 lists distinct fingerprints under every choice of that many positional bytes, so all pairs that reach the guaranteed minimum
 meet in a list, and no pair below it does: a list over a single byte would hold 1/256 of the corpus. Within a list the
 fingerprints differ in the other bytes only, so it holds at most 256 ** bits of them however large the corpus is; each looks
-up its neighbours there instead of being paired with every other. Pairs found are tallied and verified.
+up its neighbours there instead of being paired with every other. The count filter is in the keys: a pair meets exactly if its tally
+of equal bytes reaches the minimum, and pairs that meet are verified.
 """
 
 from __future__ import annotations
@@ -36,7 +37,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
         parts = [" ".join(words)]
     else:
         parts = map(" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    hashes = np.array([xxhash.xxh64_intdigest(p, seed) for p in parts], ">u8")
+    return majority(np.array([xxhash.xxh64_intdigest(p, seed) for p in parts], ">u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are those set in more than half of the big-endian 64-bit ``hashes``."""
     over, n = np.zeros(64, np.int64), len(hashes)
     for at in range(0, n, 65536):
         over += np.unpackbits(hashes[at:at + 65536].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
