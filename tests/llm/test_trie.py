@@ -82,3 +82,20 @@ def test_shared_prefixes_are_computed_once(vocabulary):
     encoder.encode(["zyxwvu zyxwv zyxwvab"])
     encoder.encode([" zyxwvabc zyxwvu"])
     assert len(made) == len(set(made)) == len(encoder.last) - 1
+
+
+def test_only_prefixes_at_which_a_token_may_begin_become_nodes(vocabulary, library):
+    encoder = triebpe.TrieEncoder(vocabulary)
+    assert [ids(x) for x in encoder.encode([" international"])] == [library.encode(" international", add_special_tokens=False).ids]
+    assert len(encoder.last) - 1 == 1
+
+
+def test_words_at_hand_stay_known_when_the_tables_start_anew(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(triebpe, "WORDS", 4)
+    encoder, asked = triebpe.TrieEncoder(vocabulary), []
+    resolve = encoder.resolve
+    encoder.resolve = lambda pieces: asked.append(set(pieces)) or resolve(pieces)
+    texts = ["zyxwvu qqxjz bbkkd", " qqxjz vvwwq ppzzk", "zyxwvu"]
+    got = [ids(encoder.encode([t])[0]) for t in texts]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked == [{"zyxwvu", " qqxjz", " bbkkd"}, {" vvwwq", " ppzzk"}, {"zyxwvu"}]

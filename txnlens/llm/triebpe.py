@@ -2,15 +2,16 @@
 
 An encoding is fixed by its neighbours: a row of tokens is what the merges make of its bytes exactly if every two neighbours stay
 apart when their bytes are merged alone. So the encoding of a prefix is the encoding of a shorter prefix and one last token, and
-a node of the trie needs to keep only that token and the node before it. Distinct words are inserted in order, which visits
-the trie depth first; a new node tries the tokens that end there and takes the one that stays apart from the last token of
-the node where it starts. Words that come again, in any later batch of the worker, are looked up whole.
+a prefix is a node of the trie, found by its bytes, once a word ends there or a token may begin there; other prefixes are passed
+by. Distinct words are inserted in order, which visits the trie depth first; a new node tries the tokens that end there and takes
+the one that stays apart from the last token of the node where it starts. Words that come again, in any later batch of the
+worker, are looked up whole; where its tables start anew, the words of the batch at hand that were known stay.
 """
 
 from __future__ import annotations
 
 import json
-from array import array
+from struct import unpack
 
 import numpy as np
 import pandas as pd
@@ -97,8 +98,10 @@ class TrieEncoder(Encoder):
 
     def __init__(self, vocabulary: Vocabulary, pattern: str = PATTERN):
         super().__init__(None, pattern)
-        self.vocabulary, self.tokens, self.lengths = vocabulary, vocabulary.tokens, vocabulary.lengths
-        self.checked: dict[int, bool] = {}
+        self.vocabulary, self.lengths = vocabulary, vocabulary.lengths
+        self.tokens = {token: i.to_bytes(4, "little") for token, i in vocabulary.tokens.items()}
+        self.sizes = {i: len(token) for token, i in self.tokens.items()}
+        self.checked: dict[bytes, bool] = {}
         self.special = regex.compile("(" + "|".join(
             regex.escape(s) for s in sorted(vocabulary.added, key=len, reverse=True)) + ")") if vocabulary.added else None
         self.clear()
@@ -110,13 +113,12 @@ class TrieEncoder(Encoder):
         return [text[start:end] for _, (start, end) in _LIBRARY.pre_tokenize_str(text)]
 
     def clear(self) -> None:
-        self.child: dict[int, int] = {}
-        self.last, self.back = [-1], [-1]  # by node: its last token, and the node before that token
+        self.last: dict[bytes, bytes] = {b"": b""}  # the nodes, by prefix: ids of its encoding, its last token's at the end
         self.memo: dict[str, bytes] = {}
 
-    def _last(self, word: bytes, end: int, last, path) -> tuple[int, int]:
-        """(token, start) of the last token of ``word[:end]``; ``last[path[i]]`` is the last token of ``word[:i]``."""
-        tokens, checked = self.tokens, self.checked
+    def _last(self, word: bytes, end: int, done: list[bytes] | None = None) -> bytes:
+        """Ids of ``word[:end]``, a new node. With ``done``, the last ids of all shorter prefixes: its last id, and no node."""
+        tokens, checked, last = self.tokens, self.checked, self.last
         lengths = self.lengths
         for length in (lengths.get(word[end - 3:end]) if end > 2 else None) or (
                 lengths.get(word[end - 2:end]) if end > 1 else None) or _ONE:
@@ -126,66 +128,45 @@ class TrieEncoder(Encoder):
             token = tokens.get(word[start:end])
             if token is None:
                 continue
-            if not start:
-                return token, 0
-            before = last[path[start]]
-            key = before << 32 | token
-            fits = checked.get(key)
-            if fits is None:
-                if len(checked) > CHECKED:
-                    checked.clear()
-                fits = checked[key] = self.vocabulary.apart(before, token)
-            if fits:
-                return token, start
+            before = done[start] if done is not None else last.get(word[:start]) if start else b""
+            if before is None:
+                before = self._last(word, start)
+            if start:
+                key = before[-4:] + token
+                fits = checked.get(key)
+                if fits is None:
+                    if len(checked) > CHECKED:
+                        checked.clear()
+                    fits = checked[key] = self.vocabulary.apart(*unpack("<II", key))
+                if not fits:
+                    continue
+            if done is not None:
+                return token
+            ids = last[word[:end]] = before + token
+            return ids
         raise ValueError("the vocabulary lacks a byte")
 
-    def _insert(self, word: bytes, path: list[int], shared: int) -> bytes:
-        """Ids of a word whose branch stays in the trie. ``path`` holds the nodes of the word before, ``shared`` bytes of them too."""
-        del path[shared + 1:]
-        child, last, back, node = self.child, self.last, self.back, path[-1]
-        find, walk = child.get, path.append
-        for byte in word[shared:]:
-            key = node << 8 | byte
-            node = find(key)
-            if node is None:
-                token, start = self._last(word, len(path), last, path)
-                node = child[key] = len(last)
-                last.append(token)
-                back.append(path[start])
-            walk(node)
-        ids = []
-        while node:
-            ids.append(last[node])
-            node = back[node]
-        ids.reverse()
-        return array("I", ids).tobytes()
-
     def _branch(self, word: bytes) -> bytes:
         """The same for a long word, on a branch that is not kept."""
-        last, starts, path = array("i", [-1]), array("q", [0]), range(len(word) + 1)
-        for end in range(1, len(word) + 1):
-            token, start = self._last(word, end, last, path)
-            last.append(token)
-            starts.append(start)
-        ids, end = [], len(word)
+        done, ids, end = [b""], [], len(word)
+        for i in range(1, end + 1):
+            done.append(self._last(word, i, done))
         while end:
-            ids.append(last[end])
-            end = starts[end]
+            ids.append(done[end])
+            end -= self.sizes[done[end]]
         ids.reverse()
-        return array("I", ids).tobytes()
+        return b"".join(ids)
 
     def resolve(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of distinct pre-tokens, in order of their bytes: the trie is walked depth first. Long ones are returned only."""
-        words = sorted((p.encode("utf-8", "surrogatepass"), p) for p in pieces)
-        short = [x for x in words if len(x[0]) <= LONGEST]
-        rows = np.array([b"", *(data for data, _ in short)], f"S{LONGEST}").view(np.uint8).reshape(-1, LONGEST)
-        sizes = np.array([0, *(len(data) for data, _ in short)])
-        differ = rows[1:] != rows[:-1]
-        shared = np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), LONGEST), np.minimum(sizes[1:], sizes[:-1]))
-        path = [0]
-        for (data, text), n in zip(short, shared.tolist(), strict=True):
-            self.memo[text] = self._insert(data, path, n)
-        return {text: self._branch(data) for data, text in words if len(data) > LONGEST}
+        memo, last, long = self.memo, self.last, {}
+        for text in sorted(pieces):
+            word = text.encode("utf-8", "surrogatepass")
+            if len(word) > LONGEST:
+                long[text] = self._branch(word)
+            else:
+                memo[text] = last.get(word) or self._last(word, len(word))
+        return long
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
@@ -197,10 +178,11 @@ class TrieEncoder(Encoder):
             else:
                 parts.append(self.split(text) if text else [])
         memo = self.memo
-        new = {p for p in set().union(*parts) if p not in memo and p.__class__ is str}
+        met = {p for p in set().union(*parts) if p.__class__ is str}
+        new = met.difference(memo)
         if len(self.last) > NODES or len(memo) + len(new) > WORDS:
             self.clear()
-            new = {p for p in set().union(*parts) if p.__class__ is str}
+            self.memo.update((p, memo[p]) for p in met.difference(new))
         long = self.resolve(new)
         memo, out = self.memo, []
         for part in parts:
