@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from helpers import WORD, awkward_texts, frame, windows
+from helpers import WORD, awkward_texts, frame, passage, windows
 
 from txnlens.llm import automaton, graph, induced, repeats, simhash
 
@@ -77,6 +77,21 @@ def test_repeated_bytes(spark, window, how):
     assert got == _brute_bytes(rows, window)
 
 
+def test_planted_passages_show_in_n_removed(spark):
+    long, short = " ".join(passage("planted", 80)), " ".join(passage("brief", 52))
+    assert len(long) >= 400 > len(short) + 20  # a passage of over 50 words may be shorter than a window: it stays
+
+    def text(i, planted=""):
+        return " ".join([*passage(f"head{i}", 60), planted, *passage(f"tail{i}", 60)])
+
+    rows = [(i, text(i, (long, short, "")[i % 3])) for i in range(30)]
+    got = {r.doc_id: r for r in repeats.dedup(frame(spark, rows)).collect()}
+    for key, given in rows:
+        assert got[key].n_bytes == len(given)  # the size of the input, whatever is removed
+        assert len(bytes(got[key].kept)) == len(given) - got[key].n_removed
+        assert len(long) <= got[key].n_removed < len(long) + 20 if key % 3 == 0 else got[key].n_removed == 0
+
+
 # ---------------------------------------------------------------- repeated word windows
 
 def _brute_words(rows, window):
