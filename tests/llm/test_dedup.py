@@ -1,9 +1,11 @@
 """Repeated bytes, repeated word windows, SimHash components: against brute force over whole small tables."""
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from helpers import WORD, awkward_texts, frame, passage, windows
@@ -48,6 +50,39 @@ def test_spill_files_are_used_and_removed(tmp_path, monkeypatch):
     assert not any(tmp_path.iterdir())
 
 
+def test_long_pieces_are_named_apart():
+    rng = np.random.default_rng(3)
+    for period in (1, 7, 300):
+        piece = np.r_[rng.integers(2, 5, period), np.arange(5, 200)]
+        text = np.r_[np.tile(np.r_[piece, 1], 90), piece[:-1], 1, 0].astype(np.uint8)
+        text[len(piece) * 40] = 3
+        for base in (10**7, 4):
+            order, _ = induced.suffix_array(text, 25, 10**7, base)
+            assert order.tolist() == sorted(range(len(text)), key=lambda i, data=text.tobytes(): data[i:])
+
+
+def test_a_shard_takes_little_memory_for_each_byte():
+    rng = np.random.default_rng(4)
+    data = [bytes(rng.choice(np.frombuffer(b"etaoin shrdlu", np.uint8), 600)) for _ in range(1500)]
+    shard = pd.DataFrame({"data": data, "n_": 1})
+    tracemalloc.start()
+    try:
+        repeats.repeated_starts(shard, 400, induced.MEMORY, induced.BASE)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * sum(map(len, data))
+
+
+def test_a_large_anchor_has_a_shard_of_its_own():
+    sizes = [(1, 40), (1, 40), (2, 10), (3, 60), (3, 60), (3, 60), (3, 60), (4, 30), (5, 70), (6, 1)]
+    rows = pd.DataFrame({"anchor": [a for a, _ in sizes], "data": [b"x" * n for _, n in sizes]})
+    for step in (1, 3, 10):
+        found = [x["anchor"].tolist() for x in repeats.shards((rows[i:i + step] for i in range(0, len(rows), step)), 100)]
+        assert found == [[1, 1, 2], [3, 3, 3, 3], [4, 5], [6]]
+    assert list(repeats.shards(iter([]), 100)) == [] == list(repeats.shards(iter([rows[:0]]), 100))
+
+
 # ---------------------------------------------------------------- repeated bytes
 
 def _brute_bytes(rows, window):
